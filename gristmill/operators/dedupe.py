@@ -59,7 +59,9 @@ def drop_seen(
     return r.join(s, alive, "left_anti")
 
 
-def seen_rows(kept: DataFrame, *, now: str = "started_at", ttl_days: int = V.DEDUPE_TTL_DAYS):
+def seen_rows(
+    kept: DataFrame, *, now: str = "started_at", ttl_days: int = V.DEDUPE_TTL_DAYS
+) -> DataFrame:
     """State rows for kept records."""
     return kept.select(
         HASH,

@@ -11,7 +11,8 @@ from gristmill import fixed_values as V
 from gristmill import schemas
 
 BATCH = ("site_id", "run_id")
-_RANK = {"pass": 0, "warn": 1, "fail": 2}
+STATUSES = ("pass", "warn", "fail")  # from best to worst
+DIMENSIONS = ("completeness", "uniqueness", "validity", "consistency")
 
 
 def default_profiles(spark: SparkSession) -> DataFrame:
@@ -128,13 +129,16 @@ def score_dimensions(
 
 def gate(dimensions: DataFrame, keys: Sequence[str] = BATCH) -> DataFrame:
     """One row per batch with the worst status of its dimensions."""
-    rank = F.create_map(*[F.lit(x) for pair in _RANK.items() for x in pair])
-    worst = F.element_at(F.array(*[F.lit(name) for name in _RANK]), F.max(rank[F.col("status")]) + 1)
     return dimensions.groupBy(*keys).agg(
-        F.max("total_records").alias("total_records"), worst.alias("gate_status")
+        F.max("total_records").alias("total_records"), _worst_status().alias("gate_status")
     )
 
 
+def _worst_status() -> Column:
+    statuses = F.array(*[F.lit(s) for s in STATUSES])
+    return F.element_at(statuses, F.max(F.array_position(statuses, F.col("status"))).cast("int"))
+
+
 def evaluate(
     records: DataFrame,
     batches: DataFrame,
@@ -152,10 +156,7 @@ def report(
     dimensions: DataFrame, *, keys: Sequence[str] = BATCH, generated_at: Column | None = None
 ) -> DataFrame:
     """Scored dimensions folded to one row per batch."""
-    order = F.array_position(
-        F.array(*[F.lit(d) for d in ("completeness", "uniqueness", "validity", "consistency")]),
-        F.col("dimension"),
-    )
+    order = F.array_position(F.array(*[F.lit(d) for d in DIMENSIONS]), F.col("dimension"))
     row = F.struct(
         order.alias("position"),
         "dimension",
@@ -165,14 +166,12 @@ def report(
         "status",
         "detail",
     )
-    rank = F.create_map(*[F.lit(x) for pair in _RANK.items() for x in pair])
-    worst = F.element_at(F.array(*[F.lit(name) for name in _RANK]), F.max(rank[F.col("status")]) + 1)
     return (
         dimensions.groupBy(*keys)
         .agg(
             F.max("total_records").alias("total_records"),
             F.sort_array(F.collect_list(row)).alias("dimensions"),
-            worst.alias("gate_status"),
+            _worst_status().alias("gate_status"),
         )
         .withColumn("dimensions", F.transform("dimensions", lambda d: d.dropFields("position")))
         .withColumn(
