@@ -32,8 +32,9 @@ def percent_encode(c: Column) -> Column:
 
 
 def percent_decode(c: Column) -> Column:
-    """Undo percent-encoding; `+` stays, and text that does not decode is returned as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    """Undo percent-encoding; `+` and percent signs without two hex digits stay as they are."""
+    escaped = F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.try_url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
 
 
 @F.pandas_udf("string")

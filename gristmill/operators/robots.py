@@ -59,7 +59,9 @@ def robots_path(url: Column) -> Column:
     decoded = percent_decode(url)
     rest = F.regexp_replace(decoded, r"^[A-Za-z][A-Za-z0-9+.\-]*:", "")
     rest = F.regexp_replace(rest, r"^//[^/?#]*", "")
-    rest = F.regexp_replace(rest, r"[?#]$", "")
+    # an empty fragment and an empty query leave no mark
+    rest = F.regexp_replace(rest, r"(?s)^([^#]*)#$", "$1")
+    rest = F.regexp_replace(rest, r"(?s)^([^?#]*)\?(?=#|$)", "$1")
     encoded = percent_encode(rest)
     return F.when(encoded == "", F.lit("/")).otherwise(encoded)
 
