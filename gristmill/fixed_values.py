@@ -49,7 +49,7 @@ PROFILES = {
 
 # ---- fixed values: article clean-up patterns -----------------------------------------------
 CITATION_MARKER = r"\[\s*\w+\s*\]"
-SPACE_BEFORE_PUNCTUATION = r"\s+([,.;:])"
+CLOSING_PUNCTUATION = ",.;:"
 MIN_LEAD_CHARS = 80
 
 # ---- fixed values: frontier of the four registered sites -----------------------------------

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
 
-# Java's (?U)\s leaves out the four separators U+001C..U+001F that also count as whitespace here.
-_SPACE = r"[\s\x1c-\x1f]"
+# All characters that count as whitespace.
+WHITESPACE = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
 
 
 def strip(c: Column) -> Column:
     """Drop leading and trailing Unicode whitespace (`trim` only drops U+0020)."""
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 @F.pandas_udf("string")
@@ -24,10 +24,17 @@ def nfkc_strip(text: pd.Series) -> pd.Series:
 
 
 def clean_article_text(c: Column) -> Column:
-    """Remove citation markers, spaces before punctuation and repeated whitespace."""
+    """Remove citation markers, spaces before punctuation and repeated whitespace.
+
+    Whitespace is made plain and single first; then the space before a punctuation mark is one
+    fixed pair of characters, which needs no pattern.
+    """
     c = F.regexp_replace(c, "(?U)" + V.CITATION_MARKER, "")
-    c = F.regexp_replace(c, "(?U)" + V.SPACE_BEFORE_PUNCTUATION, "$1")
-    return strip(F.regexp_replace(c, rf"(?U){_SPACE}+", " "))
+    c = F.translate(c, WHITESPACE, " " * len(WHITESPACE))
+    c = F.regexp_replace(c, " {2,}", " ")
+    for mark in V.CLOSING_PUNCTUATION:
+        c = F.replace(c, F.lit(" " + mark), F.lit(mark))
+    return strip(c)
 
 
 def quoted(c: Column) -> Column:

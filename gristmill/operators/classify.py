@@ -3,61 +3,77 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
+from gristmill.functions import strip
 
 # Named character references whose character matters to the text rules; any other reference
 # counts as one character.
 _REFERENCES = (("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"))
-_TAG = r"<[/!?A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+_TAG = r"<[/!?A-Za-z](?:[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*|[^>]*)>"
 
 
 def visible_text(html: Column) -> Column:
     """Body text without script and style: text nodes stripped, then joined without separator.
 
-    In Catalyst throughout: tags are cut by pattern, which agrees with a parser on markup whose
-    tags are closed. A document without a body element has no visible text.
+    In Catalyst throughout: the text is split at its tags, which agrees with a parser on markup
+    whose tags are closed. A document without a body element has no visible text.
     """
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, r"(?is)<(script|style)\b.*?</\1\s*>", "<i>")
-    # from the end of the body's start tag up to its end tag or the end
-    text = F.regexp_extract(text, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)", 1)
-    text = F.regexp_replace(text, r"(?U)\s*" + _TAG + r"\s*", "")
-    text = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    # a tag in their place keeps the text nodes around them apart
+    text = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "<i>")
+    text = F.get(F.split(text, r"(?i)<body\b[^>]*>", 2), F.lit(1))
+    text = F.get(F.split(text, r"(?i)</body\s*>", 2), F.lit(0))
+    # references are resolved per text node, so that text itself is computed only once
+    text = F.array_join(
+        F.transform(F.split(text, _TAG), lambda node: strip(_resolved(node))), ""
+    )
+    return F.coalesce(text, F.lit(""))
+
+
+def _resolved(text: Column) -> Column:
+    """Text with its character references replaced."""
+    out = text
     for name, char in _REFERENCES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    text = F.regexp_replace(text, r"&#[0-9]+;|&#[xX][0-9A-Fa-f]+;|&[A-Za-z][A-Za-z0-9]*;", "&")
-    return text
+        out = F.replace(out, F.lit(name), F.lit(char))
+    out = F.regexp_replace(out, r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);", "&")
+    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
 
 
-def response_class(status_code: Column, content_type: Column, html: Column) -> Column:
-    """`ok`, `soft_block` or `empty_or_js_shell`.
+def response_class(status_code: Column, content_type: Column, text: Column) -> Column:
+    """`ok`, `soft_block` or `empty_or_js_shell`, from the visible text.
 
     Only 2xx HTML is looked into (a missing content type counts as HTML); the soft-block markers
     are tried before the length.
     """
-    text = visible_text(html)
-    not_html = F.coalesce(
-        (content_type != "") & ~F.contains(F.lower(content_type), F.lit("html")), F.lit(False)
-    )
+    lowered = F.lower(text)
+    marked = reduce(or_, (F.contains(lowered, F.lit(m)) for m in V.SOFT_BLOCK_MARKERS))
     return (
-        F.when(~status_code.between(200, 299), "ok")
-        .when(not_html, "ok")
-        .when(F.lower(text).rlike("|".join(V.SOFT_BLOCK_MARKERS)), "soft_block")
+        F.when(~inspectable(status_code, content_type), "ok")
+        .when(marked, "soft_block")
         .when(F.length(text) < V.MIN_VISIBLE_CHARS, "empty_or_js_shell")
         .otherwise("ok")
     )
 
 
+def inspectable(status_code: Column, content_type: Column) -> Column:
+    """Whether a response is 2xx and HTML as far as its content type says."""
+    not_html = (content_type != "") & ~F.contains(F.lower(content_type), F.lit("html"))
+    return status_code.between(200, 299) & ~F.coalesce(not_html, F.lit(False))
+
+
 def classify(pages: DataFrame) -> DataFrame:
     """`pages(status_code, content_type, body, ...)` with `response_class`."""
     html = F.make_valid_utf8(F.col("body").cast("string"))
-    return pages.withColumn(
-        "response_class", response_class(F.col("status_code"), F.col("content_type"), html)
+    inspected = pages.withColumn(
+        "_text", F.when(inspectable(F.col("status_code"), F.col("content_type")), visible_text(html))
     )
+    cls = response_class(F.col("status_code"), F.col("content_type"), F.col("_text"))
+    return inspected.withColumn("response_class", cls).drop("_text")
 
 
 COPY = ("status_code", "headers", "body", "fetched_at", "content_type")

@@ -103,29 +103,29 @@ def dedupe_history(
     if ttl_days <= 0:
         return records  # expires at once: nothing is ever a repeat
     ttl = int(ttl_days * MICROS_PER_DAY)
-    times = records.select(HASH, F.unix_micros(now).alias("at")).distinct()
+    records = records.withColumn("_at", F.unix_micros(now))
+    times = records.select(HASH, "_at").distinct()
     free = None
     if seen is not None:
         alive = seen.groupBy(HASH).agg(F.max_by("expires_at", "first_seen").alias("expires_at"))
         free = alive.select(HASH, F.unix_micros("expires_at").alias("free_at"))
 
     long_chains = times.groupBy(HASH).count().filter(F.col("count") > fold_limit).select(HASH)
-    long_chains = cut(long_chains, "long-chains")
     if long_chains.isEmpty():
         kept = _fold_chains(times, free, ttl)
     else:
-        long_chains = broadcast_if_small(long_chains)
+        long_chains = broadcast_if_small(cut(long_chains, "long-chains"))
         short = times.join(long_chains, HASH, "left_anti")
         long = times.join(long_chains, HASH, "left_semi")
         kept = _fold_chains(short, free, ttl).unionByName(_walk_chains(long, free, ttl))
 
-    firsts = first_per_key(records, [HASH, now], order)
-    keep = (firsts[HASH] == kept[HASH]) & (F.unix_micros(firsts[now]) == kept["at"])
-    return firsts.join(kept, keep, "left_semi")
+    # the rank and the join share one shuffle of the records
+    firsts = first_per_key(records, [HASH, "_at"], order)
+    return firsts.join(kept, [HASH, "_at"], "left_semi").drop("_at")
 
 
 def _fold_chains(times: DataFrame, free: DataFrame | None, ttl: int) -> DataFrame:
-    chains = times.groupBy(HASH).agg(F.sort_array(F.collect_list("at")).alias("ats"))
+    chains = times.groupBy(HASH).agg(F.sort_array(F.collect_list("_at")).alias("ats"))
     if free is not None:
         chains = chains.join(free, HASH, "left")
     else:
@@ -138,7 +138,7 @@ def _fold_chains(times: DataFrame, free: DataFrame | None, ttl: int) -> DataFram
             named_struct('free_at', at + {ttl}L, 'kept', concat(acc.kept, array(at))),
             acc),
         acc -> acc.kept)"""
-    return chains.select(HASH, F.explode(F.expr(fold)).alias("at"))
+    return chains.select(HASH, F.explode(F.expr(fold)).alias("_at"))
 
 
 def _walk_chains(times: DataFrame, free: DataFrame | None, ttl: int) -> DataFrame:
@@ -150,15 +150,15 @@ def _walk_chains(times: DataFrame, free: DataFrame | None, ttl: int) -> DataFram
     if free is None:
         later = times
     else:
-        later = times.join(free, HASH, "left").filter("free_at is null or at >= free_at")
+        later = times.join(free, HASH, "left").filter("free_at is null or _at >= free_at")
     rounds = []
     while True:
-        step = cut(later.groupBy(HASH).agg(F.min("at").alias("at")), "chain-step")
+        step = cut(later.groupBy(HASH).agg(F.min("_at").alias("_at")), "chain-step")
         if step.isEmpty():
             break
         rounds.append(step)
-        bound = broadcast_if_small(step.select(HASH, (F.col("at") + F.lit(ttl)).alias("free_at")))
-        later = times.join(bound, HASH).filter("at >= free_at")
+        bound = broadcast_if_small(step.select(HASH, (F.col("_at") + F.lit(ttl)).alias("free_at")))
+        later = times.join(bound, HASH).filter("_at >= free_at")
     out = rounds[0] if rounds else times.limit(0)
     for step in rounds[1:]:
         out = out.unionByName(step)

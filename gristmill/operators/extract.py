@@ -34,6 +34,7 @@ from gristmill.functions import (
 from gristmill.functions.money import PRICE_TYPE
 from gristmill.operators.markup import Harvester, Rule, Spec
 from gristmill.schemas import RECORD_COLUMNS
+from gristmill.session import spread
 
 # ---- fixed values: page kinds and their selectors ------------------------------------------
 PRODUCT_LISTING = Spec(
@@ -139,7 +140,7 @@ def harvest(
                 names=kept + ["element_ord", "found", "fragment"],
             )
 
-    return source.mapInArrow(run, schema)
+    return spread(source).mapInArrow(run, schema)
 
 
 def first(rule: str) -> Column:
@@ -182,107 +183,133 @@ class Extractor:
 
     spec: Spec
     no_container: str
+    """Page error for a page without the container (or, for a whole page, its first rule)."""
     fetch_strategy: str
+    fields: Callable[[], dict[str, Column]]
+    """Cleaned values in terms of `found`. Each is computed once, however often it is used."""
     derive: Callable[[], dict[str, Column]]
-    """Record columns in terms of `found`; among them `reason` (null for a good record)."""
+    """Record columns in terms of the fields; among them `reason` (null for a good record)."""
+
+
+def _blank(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit("")) == ""
 
 
 def _absent(data_type: str | DataType) -> Column:
     return F.lit(None).cast(data_type)
 
 
+def _product_fields() -> dict[str, Column]:
+    return {
+        "title_raw": first("title_raw"),
+        "href_raw": first("href_raw"),
+        "title": first("title"),
+        "source_url": first("href"),
+        "price_text": first("price"),
+        "price_digits": price_digits(first("price")),
+        "currency": currency_code(first("price")),
+        "availability": first("availability"),
+        "rating": star_rating(first("rating")),
+        "image_url": F.nullif(first("image"), F.lit("")),
+    }
+
+
 def _product_columns() -> dict[str, Column]:
-    price_text = first("price")
-    digits = price_digits(price_text)
-    currency = currency_code(price_text)
-    availability = first("availability")
-    title = first("title")
+    digits, price_text = F.col("price_digits"), F.col("price_text")
     reason = (
-        F.when(F.coalesce(first("title_raw"), F.lit("")) == "", V.REASON_NO_TITLE)
-        .when(F.coalesce(first("href_raw"), F.lit("")) == "", V.REASON_NO_LINK)
+        F.when(_blank("title_raw"), V.REASON_NO_TITLE)
+        .when(_blank("href_raw"), V.REASON_NO_LINK)
         .when(price_text.isNull(), V.REASON_NO_PRICE)
         .when(digits.isNull(), F.concat(F.lit(V.REASON_BAD_PRICE), quoted(price_text)))
-        .when(currency.isNull(), F.concat(F.lit(V.REASON_BAD_CURRENCY), quoted(price_text)))
-        .when(~_web_url(first("href")), "invalid source_url")
+        .when(
+            F.col("currency").isNull(), F.concat(F.lit(V.REASON_BAD_CURRENCY), quoted(price_text))
+        )
+        .when(~_web_url(F.col("source_url")), "invalid source_url")
     )
     return {
         "reason": reason,
         "payload": F.create_map(F.lit("article_html"), F.col("fragment")),
-        "title": title,
-        "source_url": first("href"),
-        "price_digits": digits,
         "price": digits.try_cast(PRICE_TYPE),
-        "currency": currency,
-        "availability": availability,
         "attributes": F.to_json(
-            F.struct(
-                star_rating(first("rating")).alias("rating"),
-                F.when(first("image") != "", first("image")).alias("image_url"),
-            ),
-            {"ignoreNullFields": "false"},
+            F.struct("rating", "image_url"), {"ignoreNullFields": "false"}
         ),
         "completeness_score": present_share(
-            title != "", digits.isNotNull(), currency.isNotNull(), availability.isNotNull()
+            F.col("title") != "",
+            digits.isNotNull(),
+            F.col("currency").isNotNull(),
+            F.col("availability").isNotNull(),
         ),
-        "record_id": record_id(F.col("site_id"), first("href")),
-        "content_hash": content_hash(title, digits, availability),
+        "record_id": record_id(F.col("site_id"), F.col("source_url")),
+        "content_hash": content_hash(F.col("title"), digits, F.col("availability")),
+    }
+
+
+def _quote_fields() -> dict[str, Column]:
+    return {
+        "title_raw": first("text_raw"),
+        "author_raw": first("author_raw"),
+        "title": first("text"),
+        "author": first("author"),
+        "tags": every("tags"),
+        "source_url": F.col("url"),
     }
 
 
 def _quote_columns() -> dict[str, Column]:
-    text, author = first("text"), first("author")
     reason = (
-        F.when(F.coalesce(first("text_raw"), F.lit("")) == "", V.REASON_NO_QUOTE)
-        .when(F.coalesce(first("author_raw"), F.lit("")) == "", V.REASON_NO_AUTHOR)
-        .when(~_web_url(F.col("url")), "invalid source_url")
+        F.when(_blank("title_raw"), V.REASON_NO_QUOTE)
+        .when(_blank("author_raw"), V.REASON_NO_AUTHOR)
+        .when(~_web_url(F.col("source_url")), "invalid source_url")
     )
     return {
         "reason": reason,
         "payload": F.create_map(F.lit("quote_html"), F.col("fragment")),
-        "title": text,
-        "source_url": F.col("url"),
-        "price_digits": _absent("string"),
         "price": _absent(PRICE_TYPE),
-        "currency": _absent("string"),
-        "availability": _absent("string"),
-        "attributes": F.to_json(F.struct(author.alias("author"), every("tags").alias("tags"))),
+        "attributes": F.to_json(F.struct("author", "tags"), {"ignoreNullFields": "false"}),
         "completeness_score": F.lit(1.0),
-        "record_id": record_id(F.col("site_id"), F.col("url"), text),
-        "content_hash": content_hash(text, author),
+        "record_id": record_id(F.col("site_id"), F.col("source_url"), F.col("title")),
+        "content_hash": content_hash(F.col("title"), F.col("author")),
     }
 
 
-def _article_columns() -> dict[str, Column]:
-    heading = first("heading")
-    description = first("short_description")
-    summary = lead_paragraph(every("paragraphs"))
+def _article_fields() -> dict[str, Column]:
     return {
-        "reason": F.when(summary.isNull(), V.REASON_NO_LEAD).when(
-            ~_web_url(F.col("url")), "invalid source_url"
-        ),
-        "payload": F.create_map(F.lit("title"), first("heading_raw")),
-        "title": heading,
+        "title_raw": first("heading_raw"),
+        "title": first("heading"),
+        "short_description": first("short_description"),
+        "summary": lead_paragraph(every("paragraphs")),
         "source_url": F.col("url"),
-        "price_digits": _absent("string"),
+    }
+
+
+def _article_columns() -> dict[str, Column]:
+    reason = F.when(F.col("summary").isNull(), V.REASON_NO_LEAD).when(
+        ~_web_url(F.col("source_url")), "invalid source_url"
+    )
+    return {
+        "reason": reason,
+        "payload": F.create_map(F.lit("title"), F.col("title_raw")),
         "price": _absent(PRICE_TYPE),
-        "currency": _absent("string"),
-        "availability": _absent("string"),
         "attributes": F.to_json(
-            F.struct(description.alias("short_description"), summary.alias("summary")),
-            {"ignoreNullFields": "false"},
+            F.struct("short_description", "summary"), {"ignoreNullFields": "false"}
         ),
-        "completeness_score": F.when(F.coalesce(description, F.lit("")) != "", 1.0).otherwise(0.5),
-        "record_id": record_id(F.col("site_id"), F.col("url")),
-        "content_hash": content_hash(heading, summary),
+        "completeness_score": F.when(_blank("short_description"), 0.5).otherwise(1.0),
+        "record_id": record_id(F.col("site_id"), F.col("source_url")),
+        "content_hash": content_hash(F.col("title"), F.col("summary")),
     }
 
 
 EXTRACTORS = {
-    "product_listing": Extractor(PRODUCT_LISTING, V.ERROR_NO_PRODUCTS, "http", _product_columns),
-    "quote": Extractor(QUOTE, V.ERROR_NO_QUOTES, "browser", _quote_columns),
-    "article": Extractor(ARTICLE, V.ERROR_NO_HEADING, "http", _article_columns),
+    "product_listing": Extractor(
+        PRODUCT_LISTING, V.ERROR_NO_PRODUCTS, "http", _product_fields, _product_columns
+    ),
+    "quote": Extractor(QUOTE, V.ERROR_NO_QUOTES, "browser", _quote_fields, _quote_columns),
+    "article": Extractor(ARTICLE, V.ERROR_NO_HEADING, "http", _article_fields, _article_columns),
 }
 
+# Field columns every kind has in common; a kind without one leaves it null.
+COMMON_FIELDS = ("title", "source_url", "price_digits", "currency", "availability")
+
 PAGE_KEY = ("site_id", "run_id", "page_ord", "url", "fetched_at")
 
 
@@ -299,22 +326,25 @@ def extract(pages: DataFrame, extractors: Mapping[str, Extractor] | None = None)
     specs = {name: one.spec for name, one in extractors.items()}
     found = harvest(pages.filter(ok), specs, keep=(*PAGE_KEY, "module"))
 
-    by_kind: dict[str, list[tuple[str, Column]]] = {}
-    for name, one in extractors.items():
+    def page_error(one: Extractor) -> Column:
         if one.spec.container:
             empty = F.col("element_ord").isNull()
         else:
             empty = F.coalesce(first(one.spec.rules[0].name), F.lit("")) == ""
-        columns = one.derive() | {
-            "page_error": F.when(empty, F.concat(F.lit(one.no_container), F.col("url"))),
-            "fetch_strategy": F.lit(one.fetch_strategy),
+        return F.when(empty, F.concat(F.lit(one.no_container), F.col("url")))
+
+    fields = _by_kind(
+        {
+            name: dict.fromkeys(COMMON_FIELDS, _absent("string"))
+            | one.fields()
+            | {"page_error": page_error(one), "fetch_strategy": F.lit(one.fetch_strategy)}
+            for name, one in extractors.items()
         }
-        for column, value in columns.items():
-            by_kind.setdefault(column, []).append((name, value))
-    derived = found.select(
-        *PAGE_KEY,
-        "element_ord",
-        *[_chosen(cases).alias(column) for column, cases in by_kind.items()],
+    )
+    cleaned = found.select(*PAGE_KEY, "module", "element_ord", "fragment", *fields)
+    columns = _by_kind({name: one.derive() for name, one in extractors.items()})
+    derived = cleaned.select(
+        *PAGE_KEY, "element_ord", *COMMON_FIELDS, "page_error", "fetch_strategy", *columns
     )
     kind = F.when(F.col("page_error").isNotNull(), "page_error").when(
         F.col("reason").isNotNull(), "reject"
@@ -336,12 +366,14 @@ def extract(pages: DataFrame, extractors: Mapping[str, Extractor] | None = None)
     return parsed.drop("page_error").unionByName(errors, allowMissingColumns=True)
 
 
-def _chosen(cases: list[tuple[str, Column]]) -> Column:
-    out = None
-    for name, value in cases:
-        is_kind = F.col("module") == name
-        out = F.when(is_kind, value) if out is None else out.when(is_kind, value)
-    return out
+def _by_kind(columns: dict[str, dict[str, Column]]) -> list[Column]:
+    """Columns of several page kinds as one list, each chosen by `module` where kinds share it."""
+    out: dict[str, Column] = {}
+    for kind, by_name in columns.items():
+        is_kind = F.col("module") == kind
+        for name, value in by_name.items():
+            out[name] = out[name].when(is_kind, value) if name in out else F.when(is_kind, value)
+    return [column.alias(name) for name, column in out.items()]
 
 
 def extract_sites(

@@ -67,6 +67,11 @@ def compile_selector(selector: str) -> list[tuple[bool, list[tuple[str, str]]]]:
     return steps
 
 
+def _search_of(rule: Rule) -> tuple[str, str, bool]:
+    """Selector, attribute ('' for text) and whether all matches count."""
+    return rule.selector, rule.kind[1:] if rule.kind[0] == "@" else "", rule.many
+
+
 def _tag_of(steps: list) -> str | None:
     mark, word = steps[0][1][0]
     return None if mark else word
@@ -115,7 +120,7 @@ class _Box:
         self.floor = floor
         self.start = start
         self.end: int | None = None
-        self.found: dict[str, list] = {}
+        self.found: dict[tuple, list] = {}
 
 
 def _selected(stack: list[_Element], floor: int, steps: list) -> bool:
@@ -142,12 +147,13 @@ class Harvester:
     def __init__(self, spec: Spec):
         self._spec = spec
         self._container = compile_selector(spec.container) if spec.container else None
-        # Rules by the tag their last step names, so that most start tags try none.
-        rules = [(rule, compile_selector(rule.selector)) for rule in spec.rules]
-        self._untagged = [(r, s) for r, s in rules if _tag_of(s) is None]
+        # Rules that look for the same thing share one search. Searches are kept by the tag their
+        # last step names, so that most start tags try none.
+        finders = {_search_of(r): compile_selector(r.selector) for r in spec.rules}
+        self._untagged = [(f, s) for f, s in finders.items() if _tag_of(s) is None]
         self._by_tag = {
-            tag: [(r, s) for r, s in rules if _tag_of(s) in (None, tag)]
-            for tag in {_tag_of(s) for _, s in rules} - {None}
+            tag: [(f, s) for f, s in finders.items() if _tag_of(s) in (None, tag)]
+            for tag in {_tag_of(s) for s in finders.values()} - {None}
         }
 
     def harvest(self, html: str, page_url: str) -> list[tuple[dict[str, list[str]], str]]:
@@ -215,18 +221,18 @@ class Harvester:
             self._end_implied(tag, at)
         element = _Element(tag, source)
         stack.append(element)
-        rules = self._by_tag.get(tag, self._untagged)
-        for box in self._open_boxes if rules else ():
-            for rule, steps in rules:
-                found = box.found.get(rule.name)
-                if (found is None or rule.many) and _selected(stack, box.floor, steps):
-                    if rule.kind[0] == "@":
-                        value = element.attrs.get(rule.kind[1:])
+        finders = self._by_tag.get(tag, self._untagged)
+        for box in self._open_boxes if finders else ():
+            for finder, steps in finders:
+                _, attribute, many = finder
+                if (many or finder not in box.found) and _selected(stack, box.floor, steps):
+                    if attribute:
+                        value = element.attrs.get(attribute)
                     else:
                         value = []
                         element.listeners.append(value)
                         self._hearing.append(value)
-                    box.found.setdefault(rule.name, []).append(value)
+                    box.found.setdefault(finder, []).append(value)
         if self._container and _tag_of(self._container) in (None, tag) and _selected(
             stack, -1, self._container
         ):
@@ -265,7 +271,7 @@ class Harvester:
 
 def _values(rule: Rule, box: _Box, page_url: str) -> list[str]:
     values = []
-    for found in box.found.get(rule.name, ()):
+    for found in box.found.get(_search_of(rule), ()):
         if isinstance(found, list):
             pieces = (piece.strip() for piece in found)
             found = (" " if rule.kind == "joined" else "").join(piece for piece in pieces if piece)

@@ -31,6 +31,7 @@ def load_all() -> None:
         extract_queries,
         fetch_queries,
         quality_queries,
+        stream_queries,
         text_queries,
         zone_queries,
     )

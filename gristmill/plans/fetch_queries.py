@@ -284,10 +284,11 @@ def response_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def page_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return pages.select(
+    shown = pages.select("page_id", classify.visible_text(F.col("html")).alias("text"))
+    return shown.select(
         "page_id",
-        F.length(classify.visible_text(F.col("html"))).cast("long").alias("visible_chars"),
-        classify.response_class(F.lit(200), F.lit("text/html"), F.col("html")).alias(
+        F.length("text").cast("long").alias("visible_chars"),
+        classify.response_class(F.lit(200), F.lit("text/html"), F.col("text")).alias(
             "response_class"
         ),
     )

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
-from gristmill import schemas
 from gristmill.operators import dedupe, quality
 from gristmill.operators.extract import extract_sites, page_errors_of, records_of, rejects_of
 from gristmill.session import cut
@@ -59,9 +58,11 @@ def run_batch(
     page_errors = page_errors_of(extracted, fail_fast=fail_fast)
     rejects = rejects_of(extracted)
 
-    records = cut(records_of(extracted, runs), "records")
+    records = records_of(extracted, runs)
     own_runs = runs.select("run_id").distinct()
+    first_start = runs.agg(F.min("started_at")).first()[0]
     seen = zones.read_seen(spark, root, before=batch).join(own_runs, "run_id", "left_anti")
+    seen = seen.filter(F.col("expires_at") > F.lit(first_start))
     kept = dedupe.dedupe_history(
         records,
         ttl_days=ttl_days,
@@ -79,18 +80,12 @@ def run_batch(
 
     zones.write_staging(kept, runs, root)
     marked = dedupe.seen_rows(kept if mark_before_gate else promoted, ttl_days=ttl_days)
-    zones.append_state(marked, f"{root}/state/seen", batch)
+    zones.save_seen(marked, root, batch, alive_at=F.lit(first_start))
     zones.write_curated(promoted, runs, root)
     zones.write_quarantine(rejects, runs, root)
     report = quality.report(dimensions)
     zones.write_report(report, root)
     summary = quality.run_summary(batches, gates, rejects, fetch_stats)
-    manifests = quality.manifest(summary, runs, F.current_timestamp())
-    zones.append_state(manifests, f"{root}/state/runs", batch)
+    zones.save_manifests(quality.manifest(summary, runs, F.current_timestamp()), root, batch)
     return RunTables(kept, rejects, page_errors, dimensions, report, summary)
 
-
-def read_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """Run manifests, the last saved one per run."""
-    log = zones.read_state(spark, f"{root}/state/runs", schemas.RUN_MANIFEST)
-    return zones.current_state(log, "run_id")

@@ -21,7 +21,7 @@ from gristmill.session import shared_dir
 from gristmill.sources import registry, zones
 
 
-def _root(spark: SparkSession, name: str) -> str:
+def fresh_root(spark: SparkSession, name: str) -> str:
     """A fresh root in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/zones-{name}-{uuid.uuid4().hex}"
 
@@ -101,7 +101,7 @@ def records_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`pages` written to the raw zone, whatever their status, and read back."""
-    root = _root(spark, "raw")
+    root = fresh_root(spark, "raw")
     zones.write_raw(_fetched(spark, sf_dir), root)
     stored = zones.read_raw(spark, root).filter(F.col("run") == "r1")
     return stored.select(
@@ -135,7 +135,7 @@ def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def zone_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folders under a prefix of the zones, from the file listing alone."""
-    root = _root(spark, "inventory")
+    root = fresh_root(spark, "inventory")
     zones.write_raw(_fetched(spark, sf_dir), root)
     listed = zones.inventory(spark, root, "raw/site=")
     folder = F.regexp_replace("key", "/[^/]*$", "")
@@ -173,7 +173,7 @@ def site_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         listing_pages(spark, sf_dir).drop("module"),
         shop_runs(spark, sf_dir),
         shop_registry(spark, sf_dir),
-        _root(spark, "run"),
+        fresh_root(spark, "run"),
     )
     return tables.summary
 
@@ -187,7 +187,7 @@ def site_run_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the whole run promoted, read from the curated zone after the run was repeated."""
     from gristmill.plans.site_run import run_batch
 
-    root = _root(spark, "curated")
+    root = fresh_root(spark, "curated")
     inputs = (
         listing_pages(spark, sf_dir).drop("module"),
         shop_runs(spark, sf_dir),

@@ -50,6 +50,26 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Inputs below this size may sit in fewer splits than there are cores.
+SMALL_INPUT_BYTES = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out to all cores ahead of a CPU-bound stage.
+
+    Only done when the optimizer's size estimate stays below a gigabyte, so at most that much is
+    shuffled; larger inputs have splits enough and are left where they are.
+    """
+    spark = df.sparkSession
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except AttributeError:  # no JVM plan at hand, e.g. over Spark Connect
+        return df
+    if int(str(size)) >= SMALL_INPUT_BYTES:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when a count shows that `df` has at most `max_rows` rows.
 

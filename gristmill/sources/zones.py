@@ -153,23 +153,70 @@ def latest_reports(reports: DataFrame) -> DataFrame:
     return first_per_key(reports, ["site_id"], [F.desc("generated_at"), F.desc("run_id")])
 
 
-# ---- state tables: logs of changes, one partition per batch, read as last change per key -------
+# ---- state tables: logs of changes, one partition per batch, with a full snapshot now and then --
+
+SNAPSHOT_EVERY = 64
 
 
 def append_state(rows: DataFrame, path: str, batch: int) -> None:
-    """Add a batch's changes to a state log, replacing what an earlier try of it wrote."""
+    """Add a batch's rows to a log, replacing what an earlier try of it wrote."""
     _replace(rows.withColumn("batch", F.lit(batch).cast("long")), path, "batch")
 
 
-def read_state(spark: SparkSession, path: str, schema: str, *, before: int | None = None) -> DataFrame:
-    """The changes of all batches, or of those before `before` (pruned by folder)."""
-    log = read_zone(spark, path, "", schema=f"{schema}, batch bigint")
-    return log if before is None else log.filter(F.col("batch") < before)
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All rows of a log; empty if nothing was written yet."""
+    return read_zone(spark, path, "", schema=f"{schema}, batch bigint")
+
 
+def save_state(
+    changes: DataFrame,
+    path: str,
+    schema: str,
+    key: str,
+    batch: int,
+    *,
+    alive: Column | None = None,
+    every: int = SNAPSHOT_EVERY,
+) -> None:
+    """Log a batch's changes; every `every` batches also store the whole state.
 
-def current_state(log: DataFrame, key: str) -> DataFrame:
-    """The last change of each key: point reads are a filter on this."""
-    return first_per_key(log, [key], [F.desc("batch")]).drop("batch")
+    Reading the state thus never goes back further than the last snapshot. `alive` is the rows a
+    snapshot keeps, e.g. those that have not expired.
+    """
+    spark = changes.sparkSession
+    append_state(changes, f"{path}/log", batch)
+    if batch > 0 and batch % every == 0:
+        state = load_state(spark, path, schema, key, before=batch + 1, every=every, snapshot=batch - 1)
+        append_state(state if alive is None else state.filter(alive), f"{path}/snapshot", batch)
+
+
+def load_changes(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    *,
+    before: int,
+    every: int = SNAPSHOT_EVERY,
+    snapshot: int | None = None,
+) -> DataFrame:
+    """Last snapshot and the changes since, of the batches before `before`. Only their folders are
+    listed for reading. `snapshot` limits which snapshot may be used."""
+    last = (before - 1 if snapshot is None else snapshot) // every * every
+    log = read_log(spark, f"{path}/log", schema)
+    log = log.filter((F.col("batch") > max(last, 0)) & (F.col("batch") < before))
+    if last <= 0:
+        first = read_log(spark, f"{path}/log", schema).filter(F.col("batch") == 0)
+        return log.unionByName(first.filter(F.lit(before > 0)))
+    stored = read_log(spark, f"{path}/snapshot", schema)
+    return log.unionByName(stored.filter(F.col("batch") == last))
+
+
+def load_state(
+    spark: SparkSession, path: str, schema: str, key: str, *, before: int, **limits
+) -> DataFrame:
+    """The last row of each key: point reads are a filter on this."""
+    changes = load_changes(spark, path, schema, before=before, **limits)
+    return first_per_key(changes, [key], [F.desc("batch")]).drop("batch")
 
 
 def upsert(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -178,6 +225,36 @@ def upsert(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(changes)
 
 
-def read_seen(spark: SparkSession, root: str, *, before: int | None = None) -> DataFrame:
+def read_seen(spark: SparkSession, root: str, *, before: int) -> DataFrame:
     """The marks of kept hashes."""
-    return read_state(spark, f"{root}/state/seen", schemas.SEEN_HASHES, before=before).drop("batch")
+    changes = load_changes(spark, f"{root}/state/seen", schemas.SEEN_HASHES, before=before)
+    return changes.drop("batch")
+
+
+def save_seen(marks: DataFrame, root: str, batch: int, *, alive_at: Column) -> None:
+    """Add marks; a snapshot forgets those that have expired by `alive_at`."""
+    path = f"{root}/state/seen"
+    alive = F.col("expires_at") > alive_at
+    save_state(marks, path, schemas.SEEN_HASHES, "content_hash", batch, alive=alive)
+
+
+def save_manifests(manifests: DataFrame, root: str, batch: int) -> None:
+    """Store run manifests."""
+    append_state(manifests, f"{root}/state/runs", batch)
+
+
+def read_manifests(spark: SparkSession, root: str) -> DataFrame:
+    """Run manifests, the last saved one per run."""
+    log = read_log(spark, f"{root}/state/runs", schemas.RUN_MANIFEST)
+    return first_per_key(log, ["run_id"], [F.desc("batch")]).drop("batch")
+
+
+def save_site_state(states: DataFrame, root: str, batch: int) -> None:
+    """Store site states, e.g. from `domain_health`."""
+    path = f"{root}/state/sites"
+    save_state(states, path, schemas.SITE_STATE, "site_id", batch)
+
+
+def read_site_state(spark: SparkSession, root: str, *, before: int) -> DataFrame:
+    """The last saved state per site."""
+    return load_state(spark, f"{root}/state/sites", schemas.SITE_STATE, "site_id", before=before)

@@ -16,7 +16,7 @@ from gristmill.operators import dedupe
 from gristmill.operators.breaker import breaker_timeline
 from gristmill.operators.extract import extract_sites, page_errors_of, records_of, rejects_of
 from gristmill.plans.site_run import run_batch
-from gristmill.session import cut
+from gristmill.session import broadcast_if_small, cut
 from gristmill.sources import zones
 
 
@@ -57,13 +57,15 @@ def dedupe_stream(
         spark = arrived.sparkSession
         rows = cut(arrived, "stream-records")
         seen = zones.read_seen(spark, root, before=batch)
-        hashes = rows.select(dedupe.HASH).distinct()
+        # a micro-batch's hashes are few: broadcast, they spare the state a shuffle
+        hashes = broadcast_if_small(rows.select(dedupe.HASH).distinct())
         known = seen.join(hashes, dedupe.HASH, "left_semi")
         kept = dedupe.dedupe_history(rows, ttl_days=ttl_days, now=now, order=order, seen=known)
         kept = cut(kept, "stream-kept")
         zones.append_state(kept, f"{root}/kept", batch)
         marks = dedupe.seen_rows(kept, now=now, ttl_days=ttl_days)
-        zones.append_state(marks, f"{root}/state/seen", batch)
+        newest = rows.agg(F.max(now)).first()[0]
+        zones.save_seen(marks, root, batch, alive_at=F.lit(newest).cast("timestamp"))
 
     return _start(records, step, checkpoint, trigger)
 
@@ -89,9 +91,8 @@ def breaker_stream(
     def step(arrived: DataFrame, batch: int) -> None:
         spark = arrived.sparkSession
         rows = cut(arrived.filter(F.col("failed").isNotNull()), "stream-results")
-        log = zones.read_state(spark, f"{root}/state/breaker", BREAKER_STATE, before=batch)
-        touched = rows.select("domain").distinct()
-        state = zones.current_state(log.join(touched, "domain", "left_semi"), "domain")
+        known = read_breaker_state(spark, root, before=batch)
+        state = known.join(rows.select("domain").distinct(), "domain", "left_semi")
         placed = rows.join(state, "domain", "left").withColumn(
             "_late", F.struct("ts", "seq") <= F.struct("last_ts", "last_seq")
         )
@@ -108,16 +109,13 @@ def breaker_stream(
             F.max_by("streak", place).cast("long").alias("streak"),
             F.max(place).alias("_place"),
         )
-        zones.append_state(
-            last.select(
-                "domain",
-                "streak",
-                F.col("_place.ts").alias("last_ts"),
-                F.col("_place.seq").alias("last_seq"),
-            ),
-            f"{root}/state/breaker",
-            batch,
+        changed = last.select(
+            "domain",
+            "streak",
+            F.col("_place.ts").alias("last_ts"),
+            F.col("_place.seq").alias("last_seq"),
         )
+        zones.save_state(changed, f"{root}/state/breaker", BREAKER_STATE, "domain", batch)
 
     return _start(results, step, checkpoint, trigger)
 
@@ -135,10 +133,11 @@ def breaker_state_at(
     return state.withColumn("state", live)
 
 
-def read_breaker_state(spark: SparkSession, root: str) -> DataFrame:
-    """Last streak and place of each domain."""
-    log = zones.read_state(spark, f"{root}/state/breaker", BREAKER_STATE)
-    return zones.current_state(log, "domain")
+def read_breaker_state(spark: SparkSession, root: str, *, before: int) -> DataFrame:
+    """Last streak and place of each domain, as of the batches before `before`."""
+    return zones.load_state(
+        spark, f"{root}/state/breaker", BREAKER_STATE, "domain", before=before
+    )
 
 
 def gate_stream(
