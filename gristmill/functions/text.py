@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gristmill import fixed_values as V
 
@@ -17,7 +18,7 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc_strip(text: pd.Series) -> pd.Series:
     """NFKC form, stripped. Spark has no normalization function, hence Arrow batches."""
     return text.str.normalize("NFKC").str.strip()

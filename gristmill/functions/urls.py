@@ -7,6 +7,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def authority(url: Column) -> Column:
@@ -37,7 +38,7 @@ def percent_decode(c: Column) -> Column:
     return F.try_url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def resolve_url(href: pd.Series, base: pd.Series) -> pd.Series:
     """Resolve `href` against `base`; Spark has no relative-URL resolution, hence Arrow batches."""
     return pd.Series(

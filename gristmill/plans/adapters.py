@@ -258,11 +258,16 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page_ord = F.floor(F.col("p_partkey") / 20).cast("int")
+    site = F.concat(F.lit("shop_"), (page_ord % 5).cast("string"))
+    return table(spark, sf_dir, "part").select(site.alias("site_id")).distinct()
+
+
 def shop_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry rows of the listing sites."""
-    sites = listing_pages(spark, sf_dir).select(F.col("site_id").alias("id")).distinct()
-    return sites.select(
-        "id",
+    return _shops(spark, sf_dir).select(
+        F.col("site_id").alias("id"),
         F.lit("product_listing").alias("module"),
         F.lit(True).alias("enabled"),
         F.lit("strict").alias("dq_profile"),
@@ -271,9 +276,8 @@ def shop_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shop_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per listing site."""
-    sites = listing_pages(spark, sf_dir).select("site_id", "run_id").distinct()
-    return sites.select(
-        "run_id",
+    return _shops(spark, sf_dir).select(
+        F.lit("r1").alias("run_id"),
         "site_id",
         F.expr(KEY_TIME).alias("started_at"),
         F.lit("v1").alias("scraper_version"),
