@@ -38,6 +38,20 @@ def percent_decode(c: Column) -> Column:
     return F.try_url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
 
 
+def stored_url(url: Column) -> Column:
+    """A web URL as it is stored: scheme and host in lower case, no default port, and `/` for an
+    empty path. The rest keeps its spelling."""
+    pattern = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*://)([^/?#]*)([^?#]*)(.*)$"
+    scheme = F.lower(F.regexp_extract(url, pattern, 1))
+    host = F.lower(F.regexp_extract(url, pattern, 2))
+    default = F.when(scheme == "http://", ":80").when(scheme == "https://", ":443")
+    host = F.when(F.endswith(host, default), F.regexp_replace(host, ":[0-9]+$", "")).otherwise(host)
+    path = F.regexp_extract(url, pattern, 3)
+    path = F.when(path == "", "/").otherwise(path)
+    whole = F.concat(scheme, host, path, F.regexp_extract(url, pattern, 4))
+    return F.when(scheme == "", url).otherwise(whole)
+
+
 @F.pandas_udf(StringType())
 def resolve_url(href: pd.Series, base: pd.Series) -> pd.Series:
     """Resolve `href` against `base`; Spark has no relative-URL resolution, hence Arrow batches."""

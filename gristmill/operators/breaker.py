@@ -36,9 +36,9 @@ def breaker_timeline(
     only ends with a success, so a failed trial reopens by itself. `carried(domain, streak,
     last_ts)` is the state left by earlier outcomes.
     """
-    rows = results.filter(F.col("failed").isNotNull()).withColumn(
-        "_chunk", chunk_of(F.col("ts"), chunk_seconds)
-    )
+    rows = results.withColumn("_chunk", chunk_of(F.col("ts"), chunk_seconds))
+    # Spelled out so that both readers of the chunks ask for the same rows and share one shuffle.
+    rows = rows.filter("failed is not null and domain is not null and _chunk is not null")
     inside = Window.partitionBy("domain", "_chunk").orderBy("ts", "seq")
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumns(

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -143,6 +143,30 @@ def harvest(
     return spread(source).mapInArrow(run, schema)
 
 
+HARVEST_ROW = "element_ord int, found map<string,array<string>>, fragment string"
+
+
+def register_harvest(
+    spark: SparkSession, specs: Mapping[str, Spec] | None = None, name: str = "harvest"
+) -> None:
+    """Make the harvest a SQL table function for lateral joins:
+    `SELECT p.url, h.* FROM pages p, LATERAL harvest(p.body, p.url, 'quote') h`."""
+    chosen = specs or {kind: one.spec for kind, one in EXTRACTORS.items()}
+
+    class Harvest:
+        def __init__(self):
+            self._harvesters = {kind: Harvester(spec) for kind, spec in chosen.items()}
+
+        def eval(self, body, url: str, kind: str):
+            if isinstance(body, (bytes, bytearray)):
+                body = bytes(body).decode("utf-8", "replace")
+            boxes = self._harvesters[kind].harvest(body or "", url or "")
+            for ordinal, (values, fragment) in enumerate(boxes):
+                yield ordinal, values, fragment
+
+    spark.udtf.register(name, F.udtf(Harvest, returnType=HARVEST_ROW))
+
+
 def first(rule: str) -> Column:
     """First value a rule found, or null."""
     return F.get(F.col("found")[rule], F.lit(0))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
 from gristmill.functions import percent_encode
+from gristmill.session import small_table
 
 PAGED = "site_id string, template string, first_page int, last_page int, max_scroll_rounds int"
 
@@ -37,8 +38,9 @@ def title_targets(titles: DataFrame) -> DataFrame:
 
 def registered_targets(spark: SparkSession) -> DataFrame:
     """The frontier of the four registered sites."""
-    paged = spark.createDataFrame(V.PAGED_FRONTIERS, PAGED)
-    titles = spark.createDataFrame(
+    paged = small_table(spark, V.PAGED_FRONTIERS, PAGED)
+    titles = small_table(
+        spark,
         [
             (V.ARTICLE_SITE, ordinal, V.ARTICLE_BASE_URL, title)
             for ordinal, title in enumerate(V.ARTICLE_TITLES)

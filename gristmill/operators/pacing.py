@@ -25,6 +25,8 @@ def plan_frontier(frontier: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> DataF
     of `ordinal`, so that a domain with most of the frontier is not numbered by one task.
     """
     rows = frontier.withColumn("_chunk", F.floor(F.col("ordinal") / chunk_rows))
+    # spelled out so that both readers of the slices share one shuffle
+    rows = rows.filter("domain is not null and _chunk is not null")
     inside = Window.partitionBy("domain", "_chunk").orderBy("ordinal")
     local = rows.withColumn("_pos", F.row_number().over(inside))
     chunks = local.groupBy("domain", "_chunk").agg(
@@ -65,6 +67,8 @@ def audit_admissions(requests: DataFrame, *, chunk_seconds: int = CHUNK_SECONDS)
             "_at", (F.unix_micros("ts") - F.unix_micros("_bucket.ts")) / F.lit(1_000_000.0)
         )
     )
+    # spelled out so that both readers of the chunks share one shuffle
+    rows = rows.filter("domain is not null and _chunk is not null")
     inside = Window.partitionBy("domain", "_chunk").orderBy("ts", "seq")
     local = rows.withColumn("_pos", F.row_number().over(inside)).withColumn(
         "_slack", F.col("_at") - (F.col("_pos") - 1) * F.col("_gap")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
 from gristmill import schemas
+from gristmill.session import small_table
 
 BATCH = ("site_id", "run_id")
 STATUSES = ("pass", "warn", "fail")  # from best to worst
@@ -18,7 +19,7 @@ DIMENSIONS = ("completeness", "uniqueness", "validity", "consistency")
 def default_profiles(spark: SparkSession) -> DataFrame:
     """The registered threshold profiles as a table."""
     rows = [(name, *row) for name, profile in V.PROFILES.items() for row in profile]
-    return spark.createDataFrame(rows, schemas.DQ_PROFILES)
+    return small_table(spark, rows, schemas.DQ_PROFILES)
 
 
 def bad_title() -> Column:

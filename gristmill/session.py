@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Rows of a lookup side that may be broadcast; at a few hundred bytes a row this stays well under
 # an executor's memory. Larger sides are left to the shuffle join (with AQE's skew handling).
@@ -25,6 +27,21 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
     )
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rows as a table whose size the optimizer knows, so that joins broadcast it."""
+    struct = StructType.fromDDL(schema)
+    columns = [f"col{i + 1}" for i in range(len(struct))]
+    literals = F.array(*[F.struct(*[_literal(v) for v in row]) for row in rows])
+    out = spark.range(1).select(F.inline(literals).alias(*columns))
+    return out.select(
+        *[F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(columns, struct.fields)]
+    )
+
+
+def _literal(value: object) -> Column:
+    return F.struct(*[_literal(v) for v in value]) if isinstance(value, tuple) else F.lit(value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
 from gristmill import schemas
+from gristmill.session import small_table
 
 
 def default_registry(spark: SparkSession) -> DataFrame:
@@ -15,7 +16,7 @@ def default_registry(spark: SparkSession) -> DataFrame:
         (site, module, True, schedule, strategy, (rps, burst, True), "strict")
         for site, module, schedule, strategy, rps, burst in V.REGISTERED_SITES
     ]
-    return spark.createDataFrame(rows, schemas.SITE_REGISTRY)
+    return small_table(spark, rows, schemas.SITE_REGISTRY)
 
 
 def resolve_sites(requested: DataFrame, registry: DataFrame) -> DataFrame:

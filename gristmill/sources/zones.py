@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gristmill import schemas
+from gristmill.functions import stored_url
 from gristmill.operators.dedupe import first_per_key
 from gristmill.operators.quality import BATCH
 from gristmill.schemas import RECORD_COLUMNS
@@ -115,9 +116,13 @@ def read_raw_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records_out(records: DataFrame) -> DataFrame:
-    """The sixteen stored columns: price as double, attributes as JSON text."""
-    renamed = {"price": F.col("price").cast("double").alias("price")}
-    renamed["attributes"] = F.col("attributes").alias("attributes_json")
+    """The sixteen stored columns: price as double, attributes as JSON text, and the URL in its
+    stored form (the record id hashes it as extracted)."""
+    renamed = {
+        "source_url": stored_url(F.col("source_url")).alias("source_url"),
+        "price": F.col("price").cast("double").alias("price"),
+        "attributes": F.col("attributes").alias("attributes_json"),
+    }
     return records.select(*[renamed.get(name, F.col(name)) for name in RECORD_COLUMNS])
 
 

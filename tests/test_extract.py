@@ -178,6 +178,16 @@ def test_own_extractor_plugs_in(spark):
     assert [(r.kind, r.title) for r in rows] == [("record", "One"), ("reject", None)]
 
 
+def test_table_function(spark):
+    X.register_harvest(spark)
+    pages(spark, ("books_sandbox", 200, GOOD * 2)).createOrReplaceTempView("fetched")
+    rows = spark.sql(
+        "SELECT h.element_ord, h.found['price'][0] AS price FROM fetched p, "
+        "LATERAL harvest(p.body, p.url, 'product_listing') h ORDER BY 1"
+    ).collect()
+    assert [tuple(r) for r in rows] == [(0, "£51.77"), (1, "£51.77")]
+
+
 # ---- the row-level helper --------------------------------------------------------------------
 
 

@@ -98,6 +98,17 @@ def test_url_keys(spark):
     assert column(spark, urls, M.origin)[:2] == ["https://A.example:80", "http://b.example"]
 
 
+def test_stored_url(spark):
+    urls = {
+        "HTTPS://Shop.Example:443": "https://shop.example/",
+        "http://a.example:8080?q=A": "http://a.example:8080/?q=A",
+        "http://a.example:80/X?y#Z": "http://a.example/X?y#Z",
+        "https://a.example/x/": "https://a.example/x/",
+        "nothing": "nothing",
+    }
+    assert column(spark, list(urls), M.stored_url) == list(urls.values())
+
+
 def test_hashes_spell_absent_parts(spark):
     row = spark.range(1).select(
         M.content_hash(F.lit("A Light in the Attic"), F.lit("51.77"), F.lit("In stock")).alias("a"),
