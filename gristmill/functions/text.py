@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +15,15 @@ from gristmill import fixed_values as V
 WHITESPACE = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often `use` mentions it.
+
+    A filter pushed below a projection repeats an expensive expression for every mention; a lambda
+    variable is not repeated.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Drop leading and trailing Unicode whitespace (`trim` only drops U+0020)."""
     return F.btrim(c, F.lit(WHITESPACE))

@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
-from gristmill.functions import strip
+from gristmill.functions import let, strip
 
 # Named character references whose character matters to the text rules; any other reference
 # counts as one character.
 _REFERENCES = (("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"))
-_TAG = r"<[/!?A-Za-z](?:[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*|[^>]*)>"
+# Quotes may hide a `>`; a tag that is never closed runs to the end, which also keeps the search
+# linear.
+_TAG = r"<[/!?A-Za-z](?:[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>|[^>]*(?:>|\z))"
 
 
 def visible_text(html: Column) -> Column:
@@ -25,7 +27,7 @@ def visible_text(html: Column) -> Column:
     whose tags are closed. A document without a body element has no visible text.
     """
     # a tag in their place keeps the text nodes around them apart
-    text = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "<i>")
+    text = F.regexp_replace(html, r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)", "<i>")
     text = F.get(F.split(text, r"(?i)<body\b[^>]*>", 2), F.lit(1))
     text = F.get(F.split(text, r"(?i)</body\s*>", 2), F.lit(0))
     # references are resolved per text node, so that text itself is computed only once
@@ -50,14 +52,14 @@ def response_class(status_code: Column, content_type: Column, text: Column) -> C
     Only 2xx HTML is looked into (a missing content type counts as HTML); the soft-block markers
     are tried before the length.
     """
-    lowered = F.lower(text)
-    marked = reduce(or_, (F.contains(lowered, F.lit(m)) for m in V.SOFT_BLOCK_MARKERS))
-    return (
-        F.when(~inspectable(status_code, content_type), "ok")
-        .when(marked, "soft_block")
-        .when(F.length(text) < V.MIN_VISIBLE_CHARS, "empty_or_js_shell")
-        .otherwise("ok")
-    )
+
+    def by_text(text: Column, lowered: Column) -> Column:
+        marked = reduce(or_, (F.contains(lowered, F.lit(m)) for m in V.SOFT_BLOCK_MARKERS))
+        short = F.length(text) < V.MIN_VISIBLE_CHARS
+        return F.when(marked, "soft_block").when(short, "empty_or_js_shell").otherwise("ok")
+
+    inspected = let(text, lambda t: let(F.lower(t), lambda low: by_text(t, low)))
+    return F.when(inspectable(status_code, content_type), inspected).otherwise("ok")
 
 
 def inspectable(status_code: Column, content_type: Column) -> Column:
@@ -68,12 +70,9 @@ def inspectable(status_code: Column, content_type: Column) -> Column:
 
 def classify(pages: DataFrame) -> DataFrame:
     """`pages(status_code, content_type, body, ...)` with `response_class`."""
-    html = F.make_valid_utf8(F.col("body").cast("string"))
-    inspected = pages.withColumn(
-        "_text", F.when(inspectable(F.col("status_code"), F.col("content_type")), visible_text(html))
-    )
-    cls = response_class(F.col("status_code"), F.col("content_type"), F.col("_text"))
-    return inspected.withColumn("response_class", cls).drop("_text")
+    text = visible_text(F.make_valid_utf8(F.col("body").cast("string")))
+    cls = response_class(F.col("status_code"), F.col("content_type"), text)
+    return pages.withColumn("response_class", cls)
 
 
 COPY = ("status_code", "headers", "body", "fetched_at", "content_type")
@@ -93,7 +92,9 @@ def escalate(
         {"fetched_by": F.lit("http"), "needs_render": F.lit(False)}
     )
     copies = rendered.select(*keys, F.struct(*COPY).alias("_copy"))
-    joined = classified.filter(shell).join(copies, list(keys), "left")
+    # the class of a shell is known from here on and need not be worked out again
+    shells = classified.filter(shell).withColumn("response_class", F.lit("empty_or_js_shell"))
+    joined = shells.join(copies, list(keys), "left")
     found = F.col("_copy").isNotNull()
     replaced = joined.select(
         *[

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 from urllib.parse import urljoin
@@ -23,10 +24,11 @@ _ENDS_SIBLING = frozenset("li dt dd option tr td th".split())
 # Elements that an implied end does not cross.
 _SCOPES = frozenset("html body table ul ol dl select td th article div section".split())
 
-# A comment, a declaration, or a tag with its attribute text; quotes may hide a `>`.
+# A comment, a declaration, or a tag with its attribute text; quotes may hide a `>`. What is never
+# closed runs to the end, which also keeps the search linear.
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|"
-    r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|"
+    r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*+)(>|\Z)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -159,6 +161,7 @@ class Harvester:
     def harvest(self, html: str, page_url: str) -> list[tuple[dict[str, list[str]], str]]:
         """`(values by rule name, source of the container)` per container, in document order."""
         self._stack: list[_Element] = []
+        self._open_tags: Counter[str] = Counter()
         self._hearing: list[list[str]] = []
         self._boxes: list[_Box] = []
         self._open_boxes: list[_Box] = []
@@ -192,7 +195,7 @@ class Harvester:
                 return
             at = match.end()
             tag = match[2]
-            if tag is None:
+            if tag is None or not match[4]:
                 continue
             tag = tag.lower()
             if match[1]:
@@ -221,6 +224,7 @@ class Harvester:
             self._end_implied(tag, at)
         element = _Element(tag, source)
         stack.append(element)
+        self._open_tags[tag] += 1
         finders = self._by_tag.get(tag, self._untagged)
         for box in self._open_boxes if finders else ():
             for finder, steps in finders:
@@ -244,12 +248,14 @@ class Harvester:
             self._pop(at)
 
     def _close(self, tag: str, at: int, end: int) -> None:
-        if any(element.tag == tag for element in self._stack):
+        if self._open_tags[tag]:
             while self._stack[-1].tag != tag:
                 self._pop(at)
             self._pop(end)
 
     def _end_implied(self, tag: str, at: int) -> None:
+        if not self._open_tags[tag]:
+            return
         for element in reversed(self._stack):
             if element.tag == tag:
                 while self._stack[-1] is not element:
@@ -261,6 +267,7 @@ class Harvester:
 
     def _pop(self, end: int) -> None:
         element = self._stack.pop()
+        self._open_tags[element.tag] -= 1
         for chunks in element.listeners:
             # by identity: two listeners may hold equal text
             self._hearing = [other for other in self._hearing if other is not chunks]

@@ -42,6 +42,7 @@ def run_batch(
 ) -> RunTables:
     """Process the fetched `pages` of `runs(run_id, site_id, started_at, scraper_version, backend)`.
 
+    `pages` should be a stored table, since it is read twice: into the raw zone and by the parser.
     `batch` numbers this job; a repeat under the same number replaces its earlier results. Writes
     in this order: raw, staging, seen hashes, curated, quarantine, report, manifest, so a manifest
     stands for a complete run. With `mark_before_gate` the hashes of a failed batch are marked too
@@ -49,12 +50,7 @@ def run_batch(
     """
     profiles = quality.default_profiles(spark) if profiles is None else profiles
     zones.write_raw(pages, root)
-    stored = zones.read_raw(spark, root).join(
-        runs.select(F.col("site_id").alias("site"), F.col("run_id").alias("run")),
-        ["site", "run"],
-        "left_semi",
-    )
-    extracted = cut(extract_sites(stored, registry), "extracted")
+    extracted = cut(extract_sites(pages, registry), "extracted")
     page_errors = page_errors_of(extracted, fail_fast=fail_fast)
     rejects = rejects_of(extracted)
 

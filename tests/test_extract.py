@@ -213,6 +213,12 @@ def test_text_nodes_are_stripped_and_joined_without_a_separator():
     assert found == {"d": ["abc"], "j": ["a b c"]}
 
 
+@pytest.mark.parametrize("piece", ["<a", "<!--", "<a 'x", "<!x", "<script>", "<p><a b=\""])
+def test_unclosed_markup_stays_linear(piece):
+    (found,) = harvest("<p>seen</p>" + piece * 100_000, Rule("p", "p"))
+    assert found["p"] == ["seen"]
+
+
 def test_child_step_and_container_scope():
     html = "<h3><b><a title=no></a></b><a title=yes></a></h3><div class=c><h3><a title=in></a></h3></div>"
     (found,) = harvest(html, Rule("t", "h3 > a", "@title"))

@@ -232,6 +232,9 @@ TEXT = "A genuine description of a book. " * 4
         (f"<body><!-- captcha --><p title='a>b'>{TEXT}</p><style>captcha</style></body>", "ok"),
         ("<body>" + "<p> a </p>\n" * 49 + "</body>", "empty_or_js_shell"),
         ("<body>" + "<p> &amp; </p>\n" * 50 + "</body>", "ok"),
+        (f"<body>{TEXT}<!-- captcha" + "<!--" * 20_000, "ok"),
+        (f"<body>{TEXT}" + "<a" * 20_000, "ok"),
+        (f"<body>{TEXT}<script>captcha" + "<script>" * 20_000, "ok"),
         ("<body>" + "<p>&nbsp;</p>" * 50 + "</body>", "empty_or_js_shell"),
     ],
 )
