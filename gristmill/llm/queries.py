@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import quality_rules, shard
+from gristmill.llm import bpe, minhash, quality_rules, secrets, shard
 from gristmill.llm.registry import query
 
 
@@ -67,3 +67,49 @@ def op5_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "source",
     )
+
+
+@query()
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicates on 3-word shingles at a similarity of 0.85."""
+    docs = table(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, shingle_words=3, percent=85)
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the bytes decoded from them."""
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"))\
+        .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def _joined(spans, kinds):
+    """sha-ready text of spans by start, then kind as listed."""
+    order = F.create_map(*[x for k, kind in enumerate(secrets.ALL) for x in (F.lit(kind), F.lit(k))])
+    chosen = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    keyed = F.sort_array(
+        F.transform(
+            chosen,
+            lambda s: F.struct(
+                s["start"].alias("a"), order[s["kind"]].alias("o"),
+                F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")).alias("t"),
+            ),
+        )
+    )
+    return F.array_join(F.transform(keyed, lambda x: x["t"]), ",")
+
+
+@query()
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document, and how many of them look live."""
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(_joined("spans", list(secrets.BASE)), 256).alias("base_sha256"),
+        _joined("spans", list(secrets.ALL)).alias("spans"),
+        F.coalesce(F.size("live"), F.lit(0)).cast("long").alias("n_live"),
+    )
