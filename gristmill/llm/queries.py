@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, minhash, quality_rules, secrets, shard
+from gristmill.llm import bpe, decontam, minhash, quality_rules, secrets, shard
 from gristmill.llm.registry import query
 
 
@@ -113,3 +113,12 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined("spans", list(secrets.ALL)).alias("spans"),
         F.coalesce(F.size("live"), F.lit(0)).cast("long").alias("n_live"),
     )
+
+
+@query()
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each document repeats benchmark items, and which."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.mark(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "contaminated", "n_items", "items"
+    )
