@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, decontam, minhash, quality_rules, secrets, shard
+from gristmill.llm import (
+    bpe,
+    chat,
+    decontam,
+    minhash,
+    quality_rules,
+    secrets,
+    shard,
+    toxicity,
+    warc,
+)
 from gristmill.llm.registry import query
 
 
@@ -122,3 +132,44 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.mark(docs, table(spark, sf_dir, "benchmark")).select(
         "doc_id", "contaminated", "n_items", "items"
     )
+
+
+@query()
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated score of every document, learned from the labels outside the held-out fifth."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return out.select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+# The tools that turns of `conversations` are read as calls of.
+TOOLS = {
+    "user": {"properties": {"words": {"type": "integer"}, "query": {"type": "string"}}, "required": ["query", "words"]},
+    "system": {"properties": {"query": {"type": "string"}}, "required": ["query"]},
+}
+
+
+@query()
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns read as tool calls: each turn but the assistant's asks with its whole text, waits for the
+    turn two before it, and is answered by the assistant's turn that follows it."""
+    rows = table(spark, sf_dir, "conversations")
+    arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("query"), F.size(quality_rules.words(F.col("text"))).alias("words")))
+    calls = rows.where("role <> 'assistant'").select(
+        "conv_id", "turn", F.col("turn").cast("string").alias("call_id"), F.col("role").alias("tool"),
+        arguments.alias("arguments"), (F.col("turn") - 2).cast("string").alias("after"),
+    )
+    results = rows.where("role = 'assistant'").select(
+        "conv_id", "turn", (F.col("turn") - 1).cast("string").alias("call_id"), F.col("text").alias("content")
+    )
+    return chat.conversations(chat.link(calls, results, TOOLS))
