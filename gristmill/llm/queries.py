@@ -13,6 +13,7 @@ from gristmill.llm import (
     quality_rules,
     secrets,
     shard,
+    substrings,
     toxicity,
     warc,
 )
@@ -173,3 +174,9 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", (F.col("turn") - 1).cast("string").alias("call_id"), F.col("text").alias("content")
     )
     return chat.conversations(chat.link(calls, results, TOOLS))
+
+
+@query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a 50-byte string of an earlier one covers."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
