@@ -1,7 +1,7 @@
 """MinHash near-duplicates: one-permutation hashing, optimal densification, star-shaped candidates.
 
 A document's set holds the 64-bit hashes of its distinct word shingles. Equal sets are one class,
-whose smallest id stands for it, so copies never meet in a bucket. One hash per shingle fills
+known by its hash, so copies never meet in a bucket. One hash per shingle fills
 `bins` minima; an empty bin takes the minimum of the first filled bin in its own seeded order of all
 bins (optimal densification: each empty bin probes by its own order). Runs of `rows` bins are band
 keys. In each bucket all members are compared with one centre, so a bucket gives as many pairs as it
@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import bind, bounded_batches, spread
@@ -223,30 +223,35 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) and kept, per row."""
     every = cut(banded(spread(docs), id_col, text, shingle_words, bins, rows), "minhash-bands")
-    real = every.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    key = ["n", "x", "y"]
-    classes = real.groupBy(*key).agg(F.min("doc_id").alias("id"))
-    # an id may stand on several rows, and then for several classes: its set is the first of them
-    classes = classes.withColumn("c", F.row_number().over(Window.partitionBy("id").orderBy(*key)))
-    classes = cut(classes, "minhash-classes")
-    first = cut(classes.where(F.col("c") == 1).drop("c"), "minhash-first")
-    lead = real.withColumnRenamed("doc_id", "id").join(first, ["id", *key]).dropDuplicates(["id"])
+    every = every.withColumn("id", F.xxhash64("n", "x", "y"))
+    real = every.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "id", "n", "bands")
+    # a class is known by its hash, and its set is read from the row of its smallest document
+    classes = cut(real.groupBy("id").agg(F.min("doc_id").alias("lo")), "minhash-classes")
+    lead = real.join(classes, "id").where(F.col("doc_id") == F.col("lo")).dropDuplicates(["id"])
     members = cut(lead.select(F.explode("bands").alias("bucket"), "id", "n"), "minhash-members")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        rows_of = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).join(ids, "id")
+        wanted = classes.join(ids, "id").select("id", F.col("lo").alias("doc"))
+        rows_of = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("t"))
+        rows_of = rows_of.join(wanted.select("doc").distinct(), "doc")
         made = bind(shingles(F.col("t"), shingle_words), lambda s: F.struct(class_key(s).alias("k"), s.alias("s")))
-        made = rows_of.select("id", made.alias("o")).select("id", "o.k.n", "o.k.x", "o.k.y", "o.s")
-        return made.join(first, ["id", *key], "left_semi").dropDuplicates(["id"]).select("id", "s")
+        made = rows_of.select(made.alias("o")).select(F.xxhash64("o.k.n", "o.k.x", "o.k.y").alias("id"), "o.s")
+        return made.join(wanted.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
     found = links(members, sets_of, percent)
-    same = real.join(classes, key).where(F.col("doc_id") != F.col("id"))
-    edges = found.unionByName(same.select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
-    label = components(edges)
+    # an id may stand on several rows; then it links its classes
+    pairs = real.select("doc_id", "id").distinct()
+    several = pairs.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("hi")).where("a < hi")
+    same = pairs.join(several, "doc_id").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b"))
+    label = components(found.unionByName(same)).withColumnRenamed("component", "c")
+    label = classes.join(label, "id", "left").select("id", "lo", F.coalesce("c", "id").alias("c"))
+    label = cut(label, "minhash-labels")
+    low = label.groupBy("c").agg(F.min("lo").alias("low"))
+    moved = label.join(low, "c").select("id", "low")
+    of_id = pairs.join(moved, "id").groupBy("doc_id").agg(F.min("low").alias("low"))
     return (
         every.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
-        .join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        .join(of_id, "doc_id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
-
