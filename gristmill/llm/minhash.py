@@ -6,7 +6,7 @@ known by its hash, so copies never meet in a bucket. One hash per shingle fills
 bins (optimal densification: each empty bin probes by its own order). Runs of `rows` bins are band
 keys. In each bucket all members are compared with one centre, so a bucket gives as many pairs as it
 has members. A bucket whose members still lie in several components afterwards goes on with the next
-centre; once it has few members left, their remaining pairs across components are compared. A
+centres; once it has few members left, their remaining pairs across components are compared. A
 bucket is thus left only when no pair in it can join two components, and no link is lost to the
 star. Candidate pairs are confirmed on the full sets.
 
@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import bind, bounded_batches, spread
@@ -35,7 +35,9 @@ from gristmill.session import cut
 BINS = 240
 ROWS = 6
 # A bucket with at most so many members left is compared pair by pair across components.
-FEW = 8
+FEW = 16
+# Centres of a bucket in each round after the first.
+CENTRES = 16
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -176,19 +178,21 @@ def links(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
         else:
             live = members.join(labels, "id", "left").withColumn("c", F.coalesce("c", "id"))
         about = live.groupBy("bucket").agg(
-            F.min(F.struct("id", "n", "c")).alias("centre"),
-            F.count(F.lit(1)).alias("m"),
-            F.min("c").alias("c_lo"),
-            F.max("c").alias("c_hi"),
+            F.count(F.lit(1)).alias("m"), F.min("c").alias("c_lo"), F.max("c").alias("c_hi")
         )
-        about = about.where(F.col("c_lo") != F.col("c_hi")).select("bucket", "centre", "m")
+        about = about.where(F.col("c_lo") != F.col("c_hi")).select("bucket", "m")
         live = cut(live.join(about, "bucket"), "minhash-live")
         if live.isEmpty():
             return found
-        star = live.where(F.col("m") > FEW).select(
-            F.col("centre.id").alias("a"), F.col("centre.n").alias("na"), F.col("centre.c").alias("ca"),
-            F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"),
-        )
+        large = live.where(F.col("m") > FEW)
+        # one centre settles most buckets; those left go on with several at a time
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
+        centres = large.withColumn("rank", rank).where(F.col("rank") <= (CENTRES if labels else 1))
+        centres = cut(centres.select("bucket", "id", "n", "c"), "minhash-centres")
+        star = centres.toDF("bucket", "a", "na", "ca").join(
+            large.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb")), "bucket"
+        )
+        star = star.where(F.col("a") < F.col("b")).select("a", "na", "ca", "b", "nb", "cb")
         few = live.where(F.col("m") <= FEW).groupBy("bucket").agg(
             F.sort_array(F.collect_list(F.struct("id", "n", "c"))).alias("x")
         )
@@ -205,10 +209,8 @@ def links(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
         sets = cut(sets_of(ids.distinct()), "minhash-sets")
         found = cut(found.unionByName(_verified(pairs, sets, percent)), "minhash-links")
         # a finished centre leaves its bucket, and so does a bucket compared pair by pair
-        members = cut(
-            live.where((F.col("m") > FEW) & (F.col("id") != F.col("centre.id"))).select("bucket", "id", "n"),
-            "minhash-members",
-        )
+        left = large.select("bucket", "id", "n").join(centres.select("bucket", "id"), ["bucket", "id"], "left_anti")
+        members = cut(left, "minhash-members")
         labels = components(found).withColumnRenamed("component", "c")
 
 
