@@ -52,10 +52,19 @@ def stored_url(url: Column) -> Column:
     return F.when(scheme == "", url).otherwise(whole)
 
 
+def _joined(base: str | None, href: str | None) -> str | None:
+    if base is None or href is None:
+        return None
+    try:
+        return urljoin(base, href.strip())
+    except ValueError:  # such as an unclosed bracket in the host
+        return None
+
+
 @F.pandas_udf(StringType())
 def resolve_url(href: pd.Series, base: pd.Series) -> pd.Series:
-    """Resolve `href` against `base`; Spark has no relative-URL resolution, hence Arrow batches."""
-    return pd.Series(
-        [None if h is None or b is None else urljoin(b, h.strip()) for h, b in zip(href, base)],
-        dtype=object,
-    )
+    """Resolve `href` against `base`; null if either is malformed.
+
+    Spark has no relative-URL resolution, hence Arrow batches.
+    """
+    return pd.Series([_joined(b, h) for h, b in zip(href, base)], dtype=object)

@@ -17,7 +17,9 @@ def paged_targets(templates: DataFrame) -> DataFrame:
 
     A template without `{page}` and with one page is a single target, e.g. a page to scroll.
     """
-    pages = templates.withColumn("page", F.explode(F.sequence("first_page", "last_page")))
+    # sequence() would count down over an empty range
+    some = templates.where(F.col("first_page") <= F.col("last_page"))
+    pages = some.withColumn("page", F.explode(F.sequence("first_page", "last_page")))
     return pages.select(
         "site_id",
         (F.col("page") - F.col("first_page")).alias("ordinal"),

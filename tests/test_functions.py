@@ -152,3 +152,17 @@ def test_run_id(spark):
         M.run_id_from(F.col("t"), F.col("k")).alias("r")
     )
     assert row.first().r == "20260102T030405Z-ab12cd34"
+
+
+def test_malformed_link_is_null(spark):
+    from gristmill.functions.urls import resolve_url
+
+    df = spark.createDataFrame([("http://[x", "http://a/"), ("b", "http://a/")], "h string, b string")
+    assert [r[0] for r in df.select(resolve_url("h", "b")).collect()] == [None, "http://a/b"]
+
+
+def test_empty_page_range_has_no_targets(spark):
+    from gristmill.operators.frontier import PAGED, paged_targets
+
+    rows = [("s", "http://a/{page}", 1, 0, None), ("t", "http://a/{page}", 1, 2, None)]
+    assert paged_targets(spark.createDataFrame(rows, PAGED)).count() == 2
