@@ -5,6 +5,7 @@ in the conversation counts, and likewise of several calls with one id; the other
 repeats. Calls are ordered topologically: by depth (1 + that of the call whose result they wait
 for, `after`), then turn, then id. Depths are found by following `after` links with pointer doubling,
 so a chain of any length takes logarithmic rounds; calls on a cycle get a null depth and come last.
+Sorting a conversation's rows by (depth, turn, call_id) gives the order; no task holds a conversation.
 Arguments are validated against the schemas by tool: required names, known names and JSON types.
 Each call is serialised as JSON with sorted keys and no spaces.
 
@@ -82,18 +83,26 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, dict]) -> D
     """One row per call (conv_id, turn, call_id, tool, arguments, after) with its result (conv_id,
     turn, call_id, content): depth, place in the conversation, fault, linked, n_repeats and json."""
     key = ["conv_id", "call_id"]
-    rest = ["turn", "tool", "arguments", "after"]
-    held = calls.where(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull())
-    one = held.groupBy(*key).agg(F.min(F.struct(*rest)).alias("c"), (F.count(F.lit(1)) - 1).alias("n_repeats"))
-    one = one.select(*key, "c.*", "n_repeats")
-    alone = calls.where(F.col("call_id").isNull() | F.col("conv_id").isNull())
-    one = cut(one.unionByName(alone.select(*key, *rest, F.lit(0).cast("long").alias("n_repeats"))), "chat-calls")
-    got = results.where(F.col("call_id").isNotNull()).groupBy(*key).agg(F.min(F.struct("turn", "content")).alias("r"))
-    joined = one.join(got.select(*key, F.col("r.content").alias("content"), F.col("r.turn").alias("result_turn")), key, "left")
+    known = F.col("call_id").isNotNull() & F.col("conv_id").isNotNull()
+    # the hash orders calls of one id alike with and without their arguments at hand
+    first = ["turn", "tool", "h", "after"]
+    calls = calls.withColumn("h", F.xxhash64("arguments"))
+    narrow = calls.where(known).groupBy(*key).agg(F.min(F.struct(*first)).alias("c"))
+    depth = depths(cut(narrow.select(*key, "c.after"), "chat-calls"))
+    # texts of calls and results meet in one shuffle, and the join with depths uses it again
+    both = calls.where(known).select(*key, F.struct(*first, "arguments").alias("c")).unionByName(
+        results.where(known).select(*key, F.struct("turn", "content").alias("r")), allowMissingColumns=True
+    )
+    one = both.groupBy(*key).agg(F.min("c").alias("c"), F.min("r").alias("r"), (F.count("c") - 1).alias("n_repeats"))
+    one = one.where(F.col("c").isNotNull()).join(depth, key, "left").select(
+        *key, "c.turn", "c.tool", "c.arguments", "n_repeats", "depth",
+        F.col("r.content").alias("content"), F.col("r.turn").alias("result_turn"),
+    )
+    alone = calls.where(~known).select(*key, "turn", "tool", "arguments", F.lit(0).cast("long").alias("n_repeats"))
+    joined = one.unionByName(alone, allowMissingColumns=True)
     # a result that stands before its call answers nothing
     late = F.col("result_turn") > F.col("turn")
     joined = joined.withColumns({"linked": F.coalesce(late, F.lit(False)), "content": F.when(late, F.col("content"))})
-    joined = joined.join(depths(one.where(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull())), key, "left")
     schemas = dict(schemas)
 
     @F.pandas_udf("fault string, json string")
@@ -110,19 +119,3 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, dict]) -> D
     return joined.withColumn("f", finished("tool", "arguments", "call_id", "content", "depth")).select(
         *key, "turn", "tool", "depth", "linked", "n_repeats", "f.fault", "f.json"
     )
-
-
-def conversations(linked: DataFrame) -> DataFrame:
-    """Per conversation: n_calls, n_linked, n_invalid, and a digest of its calls in order.
-
-    A conversation's digest is the SHA-256 of its calls' digests in topological order; 32 bytes
-    stand for a call, whatever its length.
-    """
-    last = F.coalesce("depth", F.lit(2_147_483_647))
-    each = F.struct(last.alias("d"), "turn", "call_id", F.sha2("json", 256).alias("j"))
-    return linked.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_calls"),
-        F.count(F.when(F.col("linked"), 1)).alias("n_linked"),
-        F.count(F.when(F.col("fault").isNotNull(), 1)).alias("n_invalid"),
-        F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(each)), lambda x: x["j"]), ""), 256).alias("calls_sha256"),
-    )

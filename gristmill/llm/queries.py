@@ -173,7 +173,7 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = rows.where("role = 'assistant'").select(
         "conv_id", "turn", (F.col("turn") - 1).cast("string").alias("call_id"), F.col("text").alias("content")
     )
-    return chat.conversations(chat.link(calls, results, TOOLS))
+    return chat.link(calls, results, TOOLS)
 
 
 @query()

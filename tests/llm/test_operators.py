@@ -206,7 +206,7 @@ def test_tool_calls(spark):
     assert [k for k, r in got.items() if r.linked] == [(1, "a")] and got[1, "a"].n_repeats == 1
     assert got[1, "a"].json == '{"arguments":{"x":1},"id":"a","name":"t","result":"é\\""}'
     assert json.loads(got[1, "b"].json)["arguments"] == {"x": "1"}
-    assert chat.conversations(chat.link(calls.limit(0), results, schemas)).count() == 0
+    assert chat.link(calls.limit(0), results, schemas).count() == 0
 
 
 def test_quality_and_shards_keep_every_row(docs, none):
