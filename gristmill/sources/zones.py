@@ -191,7 +191,7 @@ def save_state(
     spark = changes.sparkSession
     append_state(changes, f"{path}/log", batch)
     if batch > 0 and batch % every == 0:
-        state = load_state(spark, path, schema, key, before=batch + 1, every=every, snapshot=batch - 1)
+        state = load_state(spark, path, schema, key, before=batch + 1, snapshot=batch - 1)
         append_state(state if alive is None else state.filter(alive), f"{path}/snapshot", batch)
 
 
@@ -204,16 +204,16 @@ def load_changes(
     every: int = SNAPSHOT_EVERY,
     snapshot: int | None = None,
 ) -> DataFrame:
-    """Last snapshot and the changes since, of the batches before `before`. Only their folders are
-    listed for reading. `snapshot` limits which snapshot may be used."""
-    last = (before - 1 if snapshot is None else snapshot) // every * every
-    log = read_log(spark, f"{path}/log", schema)
-    log = log.filter((F.col("batch") > max(last, 0)) & (F.col("batch") < before))
-    if last <= 0:
-        first = read_log(spark, f"{path}/log", schema).filter(F.col("batch") == 0)
-        return log.unionByName(first.filter(F.lit(before > 0)))
+    """Newest stored snapshot and the changes since, of the batches before `before`. Batch numbers
+    may have gaps: without a snapshot the whole log counts. `snapshot` limits which one may be used;
+    `every` is taken for the sake of callers, as snapshots are found and not computed."""
+    log = read_log(spark, f"{path}/log", schema).filter(F.col("batch") < before)
     stored = read_log(spark, f"{path}/snapshot", schema)
-    return log.unionByName(stored.filter(F.col("batch") == last))
+    limit = before - 1 if snapshot is None else snapshot
+    last = stored.filter(F.col("batch") <= limit).agg(F.max("batch")).first()[0]
+    if last is None:
+        return log
+    return log.filter(F.col("batch") > last).unionByName(stored.filter(F.col("batch") == last))
 
 
 def load_state(

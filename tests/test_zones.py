@@ -170,6 +170,19 @@ def test_state_reads_snapshot_and_later_changes(spark, tmp_path):
     assert zones.load_changes(spark, path, schema, before=8, every=3).filter("batch < 6").count() == 0, files
 
 
+def test_state_survives_gaps_in_batch_numbers(spark, tmp_path):
+    path = str(tmp_path / "gaps")
+    schema = "k string, v int"
+    batches = [0, 1, 2, 3, 5, 8, 9, 30]  # 4 would have stored a snapshot; 8 does
+    for batch in batches:
+        changes = spark.createDataFrame([("a", batch), (f"b{batch}", batch)], schema)
+        zones.save_state(changes, path, schema, "k", batch, every=4)
+    for before in (6, 8, 9, 31):
+        got = {r.k: r.v for r in zones.load_state(spark, path, schema, "k", before=before).collect()}
+        seen = [b for b in batches if b < before]
+        assert got == {f"b{b}": b for b in seen} | {"a": seen[-1]}
+
+
 def test_upsert(spark):
     table = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     changed = zones.upsert(table, spark.createDataFrame([("b", 2), ("c", 2)], "k string, v int"), "k")
