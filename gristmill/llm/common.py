@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +33,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def worker_state() -> dict:
+    """What one Python worker keeps from task to task.
+
+    The package travels to the workers by value, so its own module variables are new in every task.
+    """
+    home = sys.modules.setdefault("_gristmill_worker", types.ModuleType("_gristmill_worker"))
+    return home.__dict__.setdefault("state", {})
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is evaluated once, however often `body` mentions it."""
     return F.transform(F.array(value), body)[0]

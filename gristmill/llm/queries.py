@@ -14,6 +14,7 @@ from gristmill.llm import (
     secrets,
     shard,
     substrings,
+    token_counts,
     toxicity,
     warc,
 )
@@ -180,3 +181,10 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that a 50-byte string of an earlier one covers."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than 4096 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
