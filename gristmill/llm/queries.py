@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import (
@@ -10,6 +10,7 @@ from gristmill.llm import (
     chat,
     decontam,
     minhash,
+    periodic_runs,
     quality_rules,
     secrets,
     shard,
@@ -18,6 +19,7 @@ from gristmill.llm import (
     toxicity,
     warc,
 )
+from gristmill.llm.common import bind
 from gristmill.llm.registry import query
 
 
@@ -188,3 +190,50 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it has more than 4096 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def _with_period(text: Column, doc_id: Column) -> Column:
+    """The text with a planted repeat at its end, for a tenth of the ids; other texts as they are."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        # bound, as the places of every word are computed from them
+        return bind(
+            F.struct(a.alias("a"), p.alias("p"), w.alias("w")),
+            lambda x: F.array_join(
+                F.transform(
+                    F.sequence(F.lit(0), F.size(x["w"]) - 1),
+                    lambda i: F.when(i < x["a"], x["w"][i]).otherwise(x["w"][x["a"] + (i - x["a"]) % x["p"]]),
+                ),
+                " ",
+            ),
+        )
+
+    planted = bind(quality_rules.words(text), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(text))
+    return F.when(h % 10 == 0, planted).otherwise(text)
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words in every document, a tenth of them with a planted one."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", _with_period(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs.find_runs(docs)
+    # exact comparison of length / period; of ties the first in order, by start and period, stays
+    best = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", F.lit(0)),
+        lambda top, r: F.when(r["length"] * top["period"] > top["length"] * r["period"], r).otherwise(top),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
