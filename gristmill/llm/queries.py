@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm import (
@@ -11,6 +11,7 @@ from gristmill.llm import (
     decontam,
     minhash,
     periodic_runs,
+    prefix_trie,
     quality_rules,
     secrets,
     shard,
@@ -237,3 +238,79 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def _shared_starts(turns: DataFrame) -> DataFrame:
+    """Every conversation rebuilt: it opens with the first h turns of its family's first one."""
+    family = turns.withColumn("family", F.col("conv_id") - F.col("conv_id") % 5)
+    # one exchange serves the ranks and the family's facts; the rows are narrow, and spill
+    family = family.repartition("family")
+    whole = Window.partitionBy("family")
+    placed = family.select(
+        "conv_id", "content", "n_bytes", "family",
+        (F.row_number().over(prefix_trie.in_order("family", "conv_id")) - 1).alias("i"),
+        F.collect_set("conv_id").over(whole).alias("members"),  # five at most
+        F.count_if(F.col("conv_id") == F.col("family")).over(whole).alias("opening"),
+    )
+
+    def h(c: Column) -> Column:
+        return F.crc32(c.cast("string").cast("binary")) % 9
+
+    opens = F.col("conv_id") == F.col("family")
+    takers = F.filter(
+        "members", lambda c: (opens & (F.col("i") < h(c))) | ((c == F.col("conv_id")) & (F.col("i") >= h(c)))
+    )
+    shared = opens & (F.col("i") < h(F.col("taker")))
+    after = F.least(h(F.col("taker")), F.col("opening")) + F.col("i") - h(F.col("taker"))
+    return placed.withColumn("taker", F.explode(takers)).select(
+        F.col("taker").alias("conv_id"), F.when(shared, F.col("i")).otherwise(after).alias("turn"), "content", "n_bytes"
+    )
+
+
+TRIE_SQL = """
+WITH bits AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT] || list_transform(range(8), lambda k: 0::BIGINT),
+         lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t
+), convs AS (
+  SELECT conv_id AS c, conv_id - conv_id % 5 AS b, xor(list_reduce(
+           [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+           lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), bits
+), turns AS (
+  SELECT conv_id, list(md5(length(role) || ':' || role || text) || ' ' || strlen(text) ORDER BY turn NULLS FIRST) AS w
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  GROUP BY conv_id
+), rebuilt AS (
+  SELECT c, list_concat(coalesce(o.w[1:h], []), t.w[h + 1:]) AS w
+  FROM convs JOIN turns t ON t.conv_id = c LEFT JOIN turns o ON o.conv_id = b
+), paths AS (
+  SELECT c, d, len(w) = d AS ends, array_to_string(w[1:d], ',') AS k,
+         CASE WHEN d > 0 THEN array_to_string(w[1:d - 1], ',') END AS p,
+         CASE WHEN d > 0 THEN string_split(w[d], ' ')[2]::BIGINT ELSE 0 END AS n_bytes
+  FROM (SELECT c, w, unnest(range(len(w) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT k, d AS depth, any_value(p) AS p, min(c) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(n_bytes) AS saved,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM paths GROUP BY k, d
+), children AS (
+  SELECT p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY p
+), facts AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON children.p = nodes.k
+), subtrees AS (
+  SELECT paths.k, sum(f.saved) AS saved, count(*) FILTER (f.n_children = 0) AS n_leaves
+  FROM facts f JOIN paths own ON own.c = f.conv_id AND own.k = f.k
+       JOIN paths ON paths.c = f.conv_id AND paths.d <= f.depth
+  GROUP BY paths.k
+)
+SELECT f.conv_id, f.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+       s.n_leaves, s.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM facts f JOIN subtrees s USING (k) LEFT JOIN nodes up ON up.k = f.p
+"""
+
+
+@query(TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    turns = prefix_trie.keyed(table(spark, sf_dir, "conversations"))
+    return prefix_trie.build(_shared_starts(turns), turns)
