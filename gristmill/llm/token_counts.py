@@ -137,7 +137,7 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text", most: int = FREQUEN
     tracked = max(TRACKED, most)
     sketches = words.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(`{word}`, {tracked})").alias("sketch"))
     # grouped, as the combination of an empty partition without a group has no type and fails
-    merged = sketches.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    merged = sketches.groupBy(F.col(group) < 0).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
     top = merged.select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top")).first()
     return [x["item"] for x in (top["top"] or [])] if top else []
 
