@@ -17,7 +17,7 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
 def test_query_equals_sql(spark, connection, name):
     sql = spark_entry.oracle_sql()[name]
     assert differences(spark, connection, SF_DIR, spark_entry.queries()[name], sql) == []
