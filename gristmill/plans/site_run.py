@@ -11,7 +11,7 @@ from gristmill import fixed_values as V
 from gristmill.operators import dedupe, quality
 from gristmill.operators.extract import extract_sites, page_errors_of, records_of, rejects_of
 from gristmill.session import cut
-from gristmill.sources import zones
+from gristmill.sources import seen, zones
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ def run_batch(
     registry: DataFrame,
     root: str,
     *,
-    batch: int = 0,
+    batch: int | None = None,
     profiles: DataFrame | None = None,
     fetch_stats: DataFrame | None = None,
     ttl_days: int = V.DEDUPE_TTL_DAYS,
@@ -43,12 +43,14 @@ def run_batch(
     """Process the fetched `pages` of `runs(run_id, site_id, started_at, scraper_version, backend)`.
 
     `pages` should be a stored table, since it is read twice: into the raw zone and by the parser.
-    `batch` numbers this job; a repeat under the same number replaces its earlier results. Writes
-    in this order: raw, staging, seen hashes, curated, quarantine, report, manifest, so a manifest
-    stands for a complete run. With `mark_before_gate` the hashes of a failed batch are marked too
-    and stay out until they expire.
+    `batch` numbers this job; by default it is the next one, or that of an earlier job over the same
+    runs, whose results a repeat replaces. Writes in this order: raw, staging, seen hashes, curated,
+    quarantine, report, manifest, commit. Until the commit, readers of the zones see what was there
+    before. With `mark_before_gate` the hashes of a failed batch are marked too and stay out until
+    they expire.
     """
     profiles = quality.default_profiles(spark) if profiles is None else profiles
+    job = zones.claim(spark, runs, root, batch)
     zones.write_raw(pages, root)
     extracted = cut(extract_sites(pages, registry), "extracted")
     page_errors = page_errors_of(extracted, fail_fast=fail_fast)
@@ -57,13 +59,13 @@ def run_batch(
     records = records_of(extracted, runs)
     own_runs = runs.select("run_id").distinct()
     first_start = runs.agg(F.min("started_at")).first()[0]
-    seen = zones.read_seen(spark, root, before=batch).join(own_runs, "run_id", "left_anti")
-    seen = seen.filter(F.col("expires_at") > F.lit(first_start))
+    marks = seen.known(records, root, before=job.batch).join(own_runs, "run_id", "left_anti")
+    marks = marks.filter(F.col("expires_at") > F.lit(first_start))
     kept = dedupe.dedupe_history(
         records,
         ttl_days=ttl_days,
         order=("run_id", "page_ord", "element_ord"),
-        seen=seen,
+        seen=marks,
     )
     kept = cut(kept, "kept")
 
@@ -74,14 +76,15 @@ def run_batch(
     gates = quality.gate(dimensions)
     promoted = quality.promote(kept, gates)
 
-    zones.write_staging(kept, runs, root)
+    zones.write_staging(kept, runs, root, job.attempt)
     marked = dedupe.seen_rows(kept if mark_before_gate else promoted, ttl_days=ttl_days)
-    zones.save_seen(marked, root, batch, alive_at=F.lit(first_start))
-    zones.write_curated(promoted, runs, root)
-    zones.write_quarantine(rejects, runs, root)
+    seen.save(marked, root, job.batch, alive_at=F.lit(first_start))
+    zones.write_curated(promoted, runs, root, job.attempt)
+    zones.write_quarantine(rejects, runs, root, job.attempt)
     report = quality.report(dimensions)
-    zones.write_report(report, root)
+    zones.write_report(report, root, job.attempt)
     summary = quality.run_summary(batches, gates, rejects, fetch_stats)
-    zones.save_manifests(quality.manifest(summary, runs, F.current_timestamp()), root, batch)
+    zones.save_manifests(quality.manifest(summary, runs, F.current_timestamp()), root, job.batch)
+    zones.commit(runs, root, job.attempt, staged=kept, curated=promoted, quarantined=rejects)
     return RunTables(kept, rejects, page_errors, dimensions, report, summary)
 

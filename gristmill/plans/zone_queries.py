@@ -198,3 +198,122 @@ def site_run_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "source_url string, title string, price double, domain string, dt date, run string"
     curated = zones.read_zone(spark, root, "curated", schema)
     return curated.select("domain", "source_url", "title", F.round("price", 6).alias("price"))
+
+
+def _twice(spark: SparkSession, sf_dir: str, root: str, times: int = 1) -> None:
+    """A run over a third of the pages, then one a day later over all of them, `times` times."""
+    from gristmill.plans.site_run import run_batch
+
+    pages = listing_pages(spark, sf_dir).drop("module")
+    runs, sites = shop_runs(spark, sf_dir), shop_registry(spark, sf_dir)
+    run_batch(spark, pages.where("page_ord % 3 = 0"), runs, sites, root)
+    later = runs.withColumns({"run_id": F.lit("r2"), "started_at": F.expr("started_at + interval 1 day")})
+    for _ in range(times):
+        run_batch(spark, pages.withColumn("run_id", F.lit("r2")), later, sites, root)
+
+
+TWICE = f"""{ITEMS},
+hashed AS (
+  SELECT *, title || '|' || digits || '|' || coalesce(availability, 'None') AS hash FROM items
+  WHERE reason IS NULL),
+early AS (
+  SELECT * FROM hashed WHERE page_ord % 3 = 0
+  QUALIFY row_number() OVER (PARTITION BY hash ORDER BY page_ord, k) = 1),
+late AS (
+  SELECT * FROM hashed WHERE hash NOT IN (SELECT hash FROM early)
+  QUALIFY row_number() OVER (PARTITION BY hash ORDER BY page_ord, k) = 1),
+stored AS (
+  SELECT 'r1' AS run, DATE '2026-01-01' AS dt, * FROM early
+  UNION ALL SELECT 'r2', DATE '2026-01-02', * FROM late)"""
+
+
+@query(f"WITH {TWICE} SELECT run, site_id AS site, source_url, title FROM stored")
+def run_twice_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs staged, the second one without what the first one has seen."""
+    root = fresh_root(spark, "twice")
+    _twice(spark, sf_dir, root)
+    return zones.read_zone(spark, root, "staging").select("run", "site", "source_url", "title")
+
+
+@query(
+    f"""WITH {TWICE}
+    SELECT run, site_id AS site, dt, sha256(site_id || ':' || source_url) AS record_id, source_url,
+           round(digits::DOUBLE, 6) AS price, sha256(hash) AS content_hash,
+           CASE WHEN availability IS NULL THEN 0.75 ELSE 1.0 END::DOUBLE AS completeness_score
+    FROM stored"""
+)
+def staging_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging zone after two runs of which the second was repeated."""
+    root = fresh_root(spark, "staging")
+    _twice(spark, sf_dir, root, times=2)
+    staged = zones.read_zone(spark, root, "staging")
+    return staged.select(
+        "run", "site", "dt", "record_id", "source_url", F.round("price", 6).alias("price"), "content_hash",
+        "completeness_score",
+    )
+
+
+@query(
+    f"""WITH {ITEMS}
+    SELECT 'r1' AS run, DATE '2026-01-01' AS dt, site_id AS site, url AS source_url, reason
+    FROM items WHERE reason IS NOT NULL AND page_ord % 3 = 0
+    UNION ALL
+    SELECT 'r2', DATE '2026-01-02', site_id, url, reason FROM items
+    WHERE reason IS NOT NULL AND page_ord % 2 = 0"""
+)
+def quarantine_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of two runs; a repeat of the second over half of its pages left only theirs."""
+    from gristmill.plans.site_run import run_batch
+
+    root = fresh_root(spark, "quarantine")
+    _twice(spark, sf_dir, root)
+    pages = listing_pages(spark, sf_dir).drop("module").where("page_ord % 2 = 0")
+    runs = shop_runs(spark, sf_dir)
+    later = runs.withColumns({"run_id": F.lit("r2"), "started_at": F.expr("started_at + interval 1 day")})
+    run_batch(spark, pages.withColumn("run_id", F.lit("r2")), later, shop_registry(spark, sf_dir), root)
+    rejected = zones.read_zone(spark, root, "quarantine")
+    return rejected.select("run", "dt", "site", "source_url", "reason")
+
+
+STRICTER = "0.981"
+
+
+@query(
+    f"""WITH {RUN.replace("c < 0.95", f"c < {STRICTER}")}
+    SELECT site_id AS domain, source_url, title FROM kept JOIN gated USING (site_id)
+    WHERE gate_status <> 'fail'"""
+)
+def regate_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated zone after a run was repeated under a stricter profile: sites that passed at
+    first and fail now are no longer in it."""
+    from gristmill.operators import quality
+    from gristmill.plans.site_run import run_batch
+
+    root = fresh_root(spark, "regate")
+    inputs = (
+        listing_pages(spark, sf_dir).drop("module"), shop_runs(spark, sf_dir), shop_registry(spark, sf_dir),
+    )
+    run_batch(spark, *inputs, root)
+    limit = F.when(F.col("dimension") == "completeness", float(STRICTER)).otherwise(F.col("fail_threshold"))
+    stricter = quality.default_profiles(spark).withColumn("fail_threshold", limit)
+    run_batch(spark, *inputs, root, profiles=stricter)
+    schema = "source_url string, title string, domain string, dt date, run string"
+    return zones.read_zone(spark, root, "curated", schema).select("domain", "source_url", "title")
+
+
+@query(
+    f"""WITH {TWICE}, counted AS (
+      SELECT site_id, count(*) AS n, coalesce(avg(CASE WHEN availability IS NULL THEN 0.75 ELSE 1.0 END), 0) AS c
+      FROM late GROUP BY site_id),
+    sites AS (SELECT DISTINCT 'shop_' || (p_partkey // 20) % 5 AS site_id FROM part)
+    SELECT site_id, 'r2' AS run_id, coalesce(n, 0) AS staged,
+           CASE WHEN coalesce(c, 0) < 0.95 THEN 0 ELSE n END AS curated
+    FROM sites LEFT JOIN counted USING (site_id)"""
+)
+def latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest report of each site after two runs, with the row counts that its job committed."""
+    root = fresh_root(spark, "reports")
+    _twice(spark, sf_dir, root)
+    latest = zones.latest_reports(zones.read_zone(spark, root, "reports"))
+    counts = zones.committed(spark, root).select("site_id", "run_id", "staged", "curated")
+    return latest.select("site_id", "run_id").join(counts, ["site_id", "run_id"])

@@ -58,6 +58,13 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, wherever the file system of its path is, unless it is there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: shared by several sinks, safe from
     executor loss, and still columnar (a reader prunes columns and pushes filters down)."""

@@ -1,19 +1,23 @@
 """Zone tables under one root folder: raw, staging, curated, quarantine, reports and state.
 
-Every write replaces the partitions of its own runs (or of its own batch) and no others, so that
-a repeated job leaves the same tables behind.
+A job writes staging, curated, quarantine and reports under an attempt number of its own and names
+that attempt in the commit table last. Readers see, of each site and run, the rows of the newest
+committed attempt only: what a repeat no longer has is gone, a job that broke off is not seen, and a
+run without rows is known to have none. Raw pages and state logs replace their own partitions.
+One job at a time may write to a root.
 """
 
 from __future__ import annotations
 
 import gzip
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructType
 
 from gristmill import schemas
 from gristmill.functions import stored_url
@@ -34,22 +38,112 @@ def _replace(df: DataFrame, path: str, *partitions: str, file_format: str = "par
     )
 
 
-def read_zone(
-    spark: SparkSession, root: str, zone: str, schema: str | StructType | None = None
+# Types of the folder names; left to inference, a site called 007 would be read as 7.
+PARTITIONS = {
+    "site": StringType(), "domain": StringType(), "dt": DateType(), "run": StringType(), "attempt": LongType(),
+}
+
+
+def _read(
+    spark: SparkSession, path: str, schema: str | StructType | None, file_format: str = "parquet"
 ) -> DataFrame:
-    """A zone as a table, with columns of all its files. Filters on the partition columns
-    (site or domain, dt, run) prune folders. With `schema`, a zone not yet written is empty."""
-    path = f"{root}/{zone}"
+    """Files of a folder; with `schema`, a folder not yet written is empty."""
     try:
         if schema is None:
-            return spark.read.option("mergeSchema", "true").parquet(path)
-        return spark.read.schema(schema).parquet(path)
+            found = spark.read.option("mergeSchema", "true").format(file_format).load(path).schema
+            schema = StructType()
+            for field in found.fields:
+                schema.add(field.name, PARTITIONS.get(field.name, field.dataType))
+        return spark.read.schema(schema).format(file_format).load(path)
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def read_zone(
+    spark: SparkSession, root: str, zone: str, schema: str | StructType | None = None
+) -> DataFrame:
+    """A zone's committed rows, with columns of all its files. Filters on the partition columns
+    (site or domain, dt, run) prune folders, and so does the join with the committed attempts, a row
+    per site and run. With `schema`, a zone not yet written is empty."""
+    site, file_format = ZONES[zone]
+    wanted = names = None
+    if schema is not None:
+        given = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        names, wanted = given.names, StructType(list(given.fields))
+        for name in (site, "run", "attempt"):
+            if name not in names:
+                wanted.add(name, PARTITIONS.get(name, StringType()))
+    rows = _read(spark, f"{root}/{zone}", wanted, file_format)
+    valid = committed(spark, root)
+    valid = valid.select(F.col("site_id").alias(site), F.col("run_id").alias("run"), "attempt")
+    rows = rows.join(valid, [site, "run", "attempt"], "left_semi")
+    return rows.select(*(names or [c for c in rows.columns if c != "attempt"]))
+
+
+# Zone: the column that holds the site, and the files' format.
+ZONES = {
+    "staging": ("site", "parquet"),
+    "curated": ("domain", "parquet"),
+    "quarantine": ("site", "json"),
+    "reports": ("site_id", "parquet"),
+}
+
+
+@dataclass(frozen=True)
+class Job:
+    """The numbers of one job's try: `batch` stays over repeats, `attempt` is new each time."""
+
+    batch: int
+    attempt: int
+
+
+CLAIMS = "run_id string, batch bigint, attempt bigint"
+COMMITS = "site_id string, run_id string, staged bigint, curated bigint, quarantined bigint, attempt bigint"
+
+
+def claim(spark: SparkSession, runs: DataFrame, root: str, batch: int | None = None) -> Job:
+    """Numbers for a job over `runs`. Without `batch`, a job over just the runs of an earlier one is a
+    repeat and keeps its number; any other gets the next one."""
+    path = f"{root}/state/claims"
+    own = runs.select("run_id").distinct().withColumn("own", F.lit(1))
+    before = _read(spark, path, CLAIMS)
+    jobs = before.join(own, "run_id", "left").groupBy("attempt", "batch")
+    jobs = jobs.agg(F.count("*").alias("n"), F.count("own").alias("own"))
+    same = (F.col("own") == own.count()) & (F.col("own") == F.col("n"))
+    last = jobs.agg(F.max("attempt"), F.max("batch"), F.max(F.when(same, F.col("batch")))).first()
+    attempt = 0 if last[0] is None else last[0] + 1
+    if batch is None:
+        batch = last[2] if last[2] is not None else 0 if last[1] is None else last[1] + 1
+    _replace(
+        own.select("run_id", F.lit(batch).cast("bigint").alias("batch"), F.lit(attempt).cast("bigint").alias("attempt")),
+        path, "attempt",
+    )
+    return Job(batch, attempt)
+
+
+def commit(
+    runs: DataFrame, root: str, attempt: int, **written: DataFrame
+) -> None:
+    """Make an attempt the valid one of its runs, with the rows that it has `staged`, `curated` and
+    `quarantined`. The last write of a job."""
+    rows = runs.select(*BATCH).distinct()
+    for name in ("staged", "curated", "quarantined"):
+        part = written.get(name)
+        if part is None:
+            rows = rows.withColumn(name, F.lit(0).cast("bigint"))
+            continue
+        counts = part.groupBy(*BATCH).agg(F.count("*").alias(name))
+        rows = rows.join(counts, list(BATCH), "left").fillna(0, [name])
+    _replace(rows.withColumn("attempt", F.lit(attempt).cast("bigint")), f"{root}/state/commits", "attempt")
+
+
+def committed(spark: SparkSession, root: str) -> DataFrame:
+    """The valid attempt of each site and run, and how many rows it stored."""
+    return first_per_key(_read(spark, f"{root}/state/commits", COMMITS), list(BATCH), [F.desc("attempt")])
+
+
 def inventory(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """Objects whose key (path below `root`) starts with `prefix`: key, size and change time.
 
@@ -86,7 +180,7 @@ def write_raw(pages: DataFrame, root: str) -> None:
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame:
     """Stored pages for another parse; filter on `site`, `dt` or `run` to prune."""
-    return spark.read.parquet(f"{root}/raw")
+    return _read(spark, f"{root}/raw", None)
 
 
 def read_raw_files(spark: SparkSession, path: str) -> DataFrame:
@@ -131,26 +225,33 @@ def _dated(rows: DataFrame, site: str, started: DataFrame) -> DataFrame:
     return rows.join(days, list(BATCH)).withColumns({site: F.col("site_id"), "run": F.col("run_id")})
 
 
-def write_staging(records: DataFrame, runs: DataFrame, root: str) -> None:
+def _attempted(rows: DataFrame, attempt: int) -> DataFrame:
+    return rows.withColumn("attempt", F.lit(attempt).cast("bigint"))
+
+
+def write_staging(records: DataFrame, runs: DataFrame, root: str, attempt: int = 0) -> None:
     """All kept records, whatever their gate says."""
-    _replace(_dated(records_out(records), "site", runs), f"{root}/staging", "site", "dt", "run")
+    rows = _attempted(_dated(records_out(records), "site", runs), attempt)
+    _replace(rows, f"{root}/staging", "site", "dt", "run", "attempt")
 
 
-def write_curated(promoted: DataFrame, runs: DataFrame, root: str) -> None:
+def write_curated(promoted: DataFrame, runs: DataFrame, root: str, attempt: int = 0) -> None:
     """Records of batches that passed or warned."""
-    _replace(_dated(records_out(promoted), "domain", runs), f"{root}/curated", "domain", "dt", "run")
+    rows = _attempted(_dated(records_out(promoted), "domain", runs), attempt)
+    _replace(rows, f"{root}/curated", "domain", "dt", "run", "attempt")
 
 
-def write_quarantine(rejects: DataFrame, runs: DataFrame, root: str) -> None:
+def write_quarantine(rejects: DataFrame, runs: DataFrame, root: str, attempt: int = 0) -> None:
     """Rejected rows as JSON lines. The run is part of the key: a second run on the same day adds
     to the first one's rejects instead of replacing them."""
-    rows = _dated(rejects, "site", runs)
-    _replace(rows, f"{root}/quarantine", "site", "dt", "run", file_format="json")
+    rows = _attempted(_dated(rejects, "site", runs), attempt)
+    _replace(rows, f"{root}/quarantine", "site", "dt", "run", "attempt", file_format="json")
 
 
-def write_report(reports: DataFrame, root: str) -> None:
+def write_report(reports: DataFrame, root: str, attempt: int = 0) -> None:
     """Quality reports, one row per batch."""
-    _replace(reports.withColumn("run", F.col("run_id")), f"{root}/reports", "run")
+    rows = _attempted(reports.withColumn("run", F.col("run_id")), attempt)
+    _replace(rows, f"{root}/reports", "run", "attempt")
 
 
 def latest_reports(reports: DataFrame) -> DataFrame:
@@ -170,7 +271,7 @@ def append_state(rows: DataFrame, path: str, batch: int) -> None:
 
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All rows of a log; empty if nothing was written yet."""
-    return read_zone(spark, path, "", schema=f"{schema}, batch bigint")
+    return _read(spark, path, f"{schema}, batch bigint")
 
 
 def save_state(
@@ -230,19 +331,6 @@ def upsert(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(changes)
 
 
-def read_seen(spark: SparkSession, root: str, *, before: int) -> DataFrame:
-    """The marks of kept hashes."""
-    changes = load_changes(spark, f"{root}/state/seen", schemas.SEEN_HASHES, before=before)
-    return changes.drop("batch")
-
-
-def save_seen(marks: DataFrame, root: str, batch: int, *, alive_at: Column) -> None:
-    """Add marks; a snapshot forgets those that have expired by `alive_at`."""
-    path = f"{root}/state/seen"
-    alive = F.col("expires_at") > alive_at
-    save_state(marks, path, schemas.SEEN_HASHES, "content_hash", batch, alive=alive)
-
-
 def save_manifests(manifests: DataFrame, root: str, batch: int) -> None:
     """Store run manifests."""
     append_state(manifests, f"{root}/state/runs", batch)

@@ -16,8 +16,8 @@ from gristmill.operators import dedupe
 from gristmill.operators.breaker import breaker_timeline
 from gristmill.operators.extract import extract_sites, page_errors_of, records_of, rejects_of
 from gristmill.plans.site_run import run_batch
-from gristmill.session import broadcast_if_small, cut
-from gristmill.sources import zones
+from gristmill.session import cut
+from gristmill.sources import seen, zones
 
 
 def _start(
@@ -54,18 +54,14 @@ def dedupe_stream(
     """Keep records whose hash is not alive, with the exact fixed expiry; written to `root/kept`."""
 
     def step(arrived: DataFrame, batch: int) -> None:
-        spark = arrived.sparkSession
         rows = cut(arrived, "stream-records")
-        seen = zones.read_seen(spark, root, before=batch)
-        # a micro-batch's hashes are few: broadcast, they spare the state a shuffle
-        hashes = broadcast_if_small(rows.select(dedupe.HASH).distinct())
-        known = seen.join(hashes, dedupe.HASH, "left_semi")
+        known = seen.known(rows, root, before=batch)
         kept = dedupe.dedupe_history(rows, ttl_days=ttl_days, now=now, order=order, seen=known)
         kept = cut(kept, "stream-kept")
         zones.append_state(kept, f"{root}/kept", batch)
         marks = dedupe.seen_rows(kept, now=now, ttl_days=ttl_days)
         newest = rows.agg(F.max(now)).first()[0]
-        zones.save_seen(marks, root, batch, alive_at=F.lit(newest).cast("timestamp"))
+        seen.save(marks, root, batch, alive_at=F.lit(newest).cast("timestamp"))
 
     return _start(records, step, checkpoint, trigger)
 
