@@ -6,8 +6,11 @@ dropped repeat changes nothing, and at exactly `expires_at` the next record is k
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,9 +21,9 @@ HASH = "content_hash"
 ORDER = ("started_at", "page_ord", "element_ord")
 MICROS_PER_DAY = 86_400_000_000
 
-# Distinct times of one hash that are folded in one row (1.6 MB as longs); longer chains are
-# walked in rounds over the cluster instead.
-FOLD_LIMIT = 200_000
+# Distinct times of one hash that are folded in one row (80 kB as longs); longer chains are cut
+# into slices of about as many times each.
+FOLD_LIMIT = 10_000
 
 
 def first_per_key(records: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -96,9 +99,9 @@ def dedupe_history(
     """Dedupe many runs at once, as if they had run one after the other by `now`.
 
     Per hash the kept times form a chain: the first time, then the first time at or after its
-    expiry, and so on. Chains are folded from one sorted list per hash; hashes with more than
-    `fold_limit` distinct times are walked in rounds instead, so that no task holds them. Expects
-    `records` to be a stored table, since it is read more than once.
+    expiry, and so on. Chains are folded from one sorted list per hash; those of hashes with more than
+    `fold_limit` distinct times are linked over time slices instead (`_link_chains`), so that no task
+    holds them. Expects `records` to be a stored table, since it is read more than once.
     """
     if ttl_days <= 0:
         return records  # expires at once: nothing is ever a repeat
@@ -117,49 +120,124 @@ def dedupe_history(
         long_chains = broadcast_if_small(cut(long_chains, "long-chains"))
         short = times.join(long_chains, HASH, "left_anti")
         long = times.join(long_chains, HASH, "left_semi")
-        kept = _fold_chains(short, free, ttl).unionByName(_walk_chains(long, free, ttl))
+        linked = _link_chains(long, free, ttl, fold_limit)
+        kept = _fold_chains(short, free, ttl).unionByName(linked)
 
     # the rank and the join share one shuffle of the records
     firsts = first_per_key(records, [HASH, "_at"], order)
     return firsts.join(kept, [HASH, "_at"], "left_semi").drop("_at")
 
 
+def _greedy(ats: np.ndarray, start: int, ttl: int) -> np.ndarray:
+    """The chain in ascending `ats` from place `start` on: a search per kept time."""
+    kept = []
+    while start < len(ats):
+        kept.append(start)
+        start = int(np.searchsorted(ats, ats[start] + ttl))
+    return ats[kept]
+
+
 def _fold_chains(times: DataFrame, free: DataFrame | None, ttl: int) -> DataFrame:
     chains = times.groupBy(HASH).agg(F.sort_array(F.collect_list("_at")).alias("ats"))
     if free is not None:
         chains = chains.join(free, HASH, "left")
     else:
         chains = chains.withColumn("free_at", F.lit(None).cast("long"))
-    fold = f"""aggregate(
-        ats,
-        named_struct('free_at', free_at, 'kept', cast(array() as array<bigint>)),
-        (acc, at) -> if(
-            acc.free_at is null or at >= acc.free_at,
-            named_struct('free_at', at + {ttl}L, 'kept', concat(acc.kept, array(at))),
-            acc),
-        acc -> acc.kept)"""
-    return chains.select(HASH, F.explode(F.expr(fold)).alias("_at"))
 
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, free_at = batch.column("ats"), batch.column("free_at").to_pylist()
+            values, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            kept = []
+            for k, bound in enumerate(free_at):
+                ats = values[ends[k] : ends[k + 1]]
+                start = 0 if bound is None else int(np.searchsorted(ats, bound))
+                kept.append(_greedy(ats, start, ttl))
+            sizes = [len(x) for x in kept]
+            hashes = batch.column(HASH).take(pa.array(np.repeat(np.arange(len(kept)), sizes)))
+            every = np.concatenate(kept) if kept else np.zeros(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([hashes, pa.array(every, pa.int64())], names=[HASH, "_at"])
+
+    return chains.mapInArrow(fold, f"{HASH} string, _at bigint")
+
+
+def _link_chains(times: DataFrame, free: DataFrame | None, ttl: int, slice_rows: int) -> DataFrame:
+    """Chains of hashes with very many times, by slices of time and pointer doubling.
+
+    Each slice, of about `slice_rows` times, finds for all its times where a chain through them leaves
+    the slice. That bound is looked up in the slices behind it, which links times that enter slices.
+    From the chain's start, links of doubled length then reach all entries in log2(slices) rounds, and
+    every slice that is entered folds its own part. A slice is a task's memory; a round is one join
+    of entries.
+    """
+    spans = times.groupBy(HASH).agg(
+        F.min("_at").alias("lo"), (F.max("_at") - F.min("_at") + 1).alias("span"), F.count("*").alias("n")
+    )
+    # distinct times: a slice this wide holds `slice_rows` on the average
+    width = F.greatest(F.lit(1), F.ceil(F.col("span") * (F.lit(float(slice_rows)) / F.col("n")))).cast("long")
+    spans = cut(spans.select(HASH, "lo", width.alias("width")), "chain-spans")
+    spans = broadcast_if_small(spans)
+
+    sliced = times.join(spans, HASH).withColumn("slice", F.expr("(_at - lo) div width"))
+    sliced = cut(sliced.select(HASH, "slice", "_at"), "chain-times")
+
+    def leave(rows: pd.DataFrame) -> pd.DataFrame:
+        ats = np.sort(rows["_at"].to_numpy())
+        after = np.searchsorted(ats, ats + ttl).tolist()
+        bound = (ats + ttl).tolist()
+        for k in range(len(ats) - 1, -1, -1):
+            if after[k] < len(ats):
+                bound[k] = bound[after[k]]
+        return pd.DataFrame({HASH: rows[HASH].iloc[0], "_at": ats, "bound": bound})
+
+    left = sliced.groupBy(HASH, "slice").applyInPandas(leave, f"{HASH} string, _at bigint, bound bigint")
+    left = cut(left, "chain-exits")
+    starts = sliced.groupBy(HASH).agg(F.min("_at").alias("bound"))
+    if free is not None:
+        known = starts.join(free, HASH, "left")
+        starts = known.select(HASH, F.greatest("bound", "free_at").alias("bound"))
+    bounds = left.select(HASH, "bound").unionByName(starts).distinct()
+    targets = cut(_first_at_or_after(bounds, sliced, spans), "chain-targets")
+
+    links = left.join(targets, [HASH, "bound"]).select(HASH, "_at", F.col("target").alias("next"))
+    links = links.join(targets.select(HASH, F.col("target").alias("_at")).distinct(), [HASH, "_at"], "left_semi")
+    reached = starts.join(targets, [HASH, "bound"]).select(HASH, F.col("target").alias("_at"))
+    links, reached = cut(links, "chain-links"), cut(reached, "chain-reached")
+    while not links.isEmpty():
+        further = reached.join(links, [HASH, "_at"]).select(HASH, F.col("next").alias("_at"))
+        reached = cut(reached.unionByName(further).distinct(), "chain-reached")
+        onward = links.select(HASH, F.col("_at").alias("next"), F.col("next").alias("beyond"))
+        links = cut(links.join(onward, [HASH, "next"]).select(HASH, "_at", F.col("beyond").alias("next")), "chain-links")
+
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        ats = np.sort(rows["_at"].to_numpy())
+        start = int(np.searchsorted(ats, rows["entry"].iloc[0]))
+        return pd.DataFrame({HASH: rows[HASH].iloc[0], "_at": _greedy(ats, start, ttl)})
+
+    entries = reached.join(spans, HASH).select(
+        HASH, F.expr("(_at - lo) div width").alias("slice"), F.col("_at").alias("entry")
+    )
+    entered = sliced.join(entries, [HASH, "slice"])
+    return entered.groupBy(HASH, "slice").applyInPandas(fold, f"{HASH} string, _at bigint")
 
-def _walk_chains(times: DataFrame, free: DataFrame | None, ttl: int) -> DataFrame:
-    """Chains in rounds: each round is one pre-aggregated minimum per hash over the later times.
 
-    There are at most (time span / ttl) + 1 rounds, whatever the number of rows.
-    """
-    times = cut(times, "chain-times")
-    if free is None:
-        later = times
-    else:
-        later = times.join(free, HASH, "left").filter("free_at is null or _at >= free_at")
-    rounds = []
-    while True:
-        step = cut(later.groupBy(HASH).agg(F.min("_at").alias("_at")), "chain-step")
-        if step.isEmpty():
-            break
-        rounds.append(step)
-        bound = broadcast_if_small(step.select(HASH, (F.col("_at") + F.lit(ttl)).alias("free_at")))
-        later = times.join(bound, HASH).filter("_at >= free_at")
-    out = rounds[0] if rounds else times.limit(0)
-    for step in rounds[1:]:
-        out = out.unionByName(step)
-    return out
+def _first_at_or_after(bounds: DataFrame, sliced: DataFrame, spans: DataFrame) -> DataFrame:
+    """`bounds(hash, bound)` with `target`, the hash's first time at or after the bound, where there is
+    one: in the bound's own slice, or else the first time of the next slice that has any."""
+    placed = bounds.join(spans, HASH).select(HASH, F.expr("(bound - lo) div width").alias("slice"), "bound")
+    both = placed.withColumn("_at", F.lit(None).cast("long")).unionByName(
+        sliced.withColumn("bound", F.lit(None).cast("long"))
+    )
+    place = F.coalesce("bound", "_at")
+    # from the last time backwards, as frames that only grow take one pass
+    onward = Window.partitionBy(HASH, "slice").orderBy(place.desc())
+    onward = onward.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = both.withColumn("target", F.min("_at").over(onward)).where("bound IS NOT NULL")
+
+    firsts = sliced.groupBy(HASH, "slice").agg(F.min("_at").alias("first"))
+    asked = placed.select(HASH, "slice").distinct().withColumn("first", F.lit(None).cast("long"))
+    behind = Window.partitionBy(HASH).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    later = asked.unionByName(firsts).groupBy(HASH, "slice").agg(F.max("first").alias("first"))
+    later = later.select(HASH, "slice", F.min("first").over(behind).alias("later"))
+    found = inside.join(later, [HASH, "slice"])
+    return found.select(HASH, "bound", F.coalesce("target", "later").alias("target")).where("target IS NOT NULL")

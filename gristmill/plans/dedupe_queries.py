@@ -96,7 +96,7 @@ def dedupe_ttl_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(TTL_ORACLE)
 def dedupe_ttl_backfill_in_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every longer chain walked over the cluster, as a hot hash would be."""
+    """The same with every longer chain linked over time slices, as a hot hash would be."""
     kept = dedupe.dedupe_history(
         _repeats(spark, sf_dir), ttl_days=2, order=("event_id",), fold_limit=12
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gristmill import schemas
 from gristmill.operators import dedupe
+from gristmill.session import cut
 
 T0 = datetime.datetime(2026, 1, 1)
 DAY = datetime.timedelta(days=1)
@@ -116,3 +117,38 @@ def test_history_shuffles_the_records_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert sum("content_hash" in line and "_at" in line for line in wide) <= 3, plan
+
+
+def test_a_million_times_of_one_hash(spark):
+    """Chains of about as many links as there are seconds: rounds grow with their logarithm."""
+    n = 1_000_000
+    at = F.pmod(F.xxhash64("id"), F.lit(n * 700_000))
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 1000 == 0, F.concat(F.lit("h"), F.col("id") % 3000)).otherwise(F.lit("hot")).alias("content_hash"),
+        F.timestamp_micros(at).alias("started_at"), F.lit(0).alias("page_ord"), F.lit(0).alias("element_ord"),
+    )
+    kept = dedupe.dedupe_history(cut(rows, "million"), ttl_days=1 / 86_400)
+    found = kept.groupBy("content_hash").agg(F.count("*").alias("n"), F.sum(F.unix_micros("started_at")).alias("sum"))
+    got = {r.content_hash: (r.n, r.sum) for r in found.collect()}
+    want = {}
+    for name, times in rows.select("content_hash", F.unix_micros("started_at").alias("t")).toPandas().groupby("content_hash")["t"]:
+        free, chain = -1, []
+        for t in sorted(set(times)):
+            if t >= free:
+                chain.append(t)
+                free = t + 1_000_000
+        want[name] = (len(chain), sum(chain))
+    assert got == want and got["hot"][0] > 300_000
+
+
+def test_crowded_slices_and_lookups_over_gaps(spark):
+    """All times but a few in one slice, and free times far behind."""
+    base = datetime.datetime(2026, 1, 1)
+    near = [base + datetime.timedelta(microseconds=k) for k in range(300)]
+    far = [base + datetime.timedelta(days=k) for k in (5, 6, 50, 51, 52, 400)]
+    rows = [("a", t) for t in near + far] + [("b", t) for t in near]
+    df = spark.createDataFrame([(h, t, 0, 0) for h, t in rows], "content_hash string, started_at timestamp, page_ord int, element_ord int")
+    for days in (0.0000000002, 3):
+        one = dedupe.dedupe_history(df, ttl_days=days, fold_limit=5)
+        other = dedupe.dedupe_history(df, ttl_days=days, fold_limit=10**6)
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
