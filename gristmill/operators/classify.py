@@ -15,25 +15,45 @@ from gristmill.functions import let, strip
 # Named character references whose character matters to the text rules; any other reference
 # counts as one character.
 _REFERENCES = (("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"))
-# Quotes may hide a `>`; a tag that is never closed runs to the end, which also keeps the search
-# linear.
-_TAG = r"<[/!?A-Za-z](?:[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>|[^>]*(?:>|\z))"
+# What follows a tag's name up to its `>`. Quotes hide a `>` only where a value begins; what is never
+# closed runs to the end. Every part is possessive, so one pass over a tag decides and no state is
+# kept for its attributes, however many there are.
+_REST = r"(?:[^>=]++|=[ \t\n\f\r]*+(?:\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z))?+)*+(?:>|\z)"
+_END = r"(?=[ \t\n\f\r/>]|\z)"
+# All markup: comments, script and style with what is in them, title with its text (2), start tags by
+# their name (3), end tags and declarations.
+_MARKUP = (
+    rf"(?is)<!--.*?(?:-->|\z)|<(script|style){_END}{_REST}.*?(?:</\1{_END}[^>]*+(?:>|\z)|\z)"
+    rf"|<title{_END}{_REST}(.*?)(?:</title{_END}[^>]*+(?:>|\z)|\z)"
+    rf"|<([a-z][^ \t\n\f\r/>]*+){_REST}|</[a-z]{_REST}|<[!?/][^>]*+(?:>|\z)"
+)
+# Start tags that do not open the body.
+_HEAD = ("html", "head", "meta", "link", "base", "basefont", "bgsound", "noscript", "noframes", "template")
+_SPACES = " \t\n\f\r"
 
 
 def visible_text(html: Column) -> Column:
     """Body text without script and style: text nodes stripped, then joined without separator.
 
-    In Catalyst throughout: the text is split at its tags, which agrees with a parser on markup
-    whose tags are closed. A document without a body element has no visible text.
+    In Catalyst throughout, in one scan over the markup. As for a parser, the body begins with its
+    tag, or without one with the first tag that cannot stand in a head or the first text outside
+    the title; what follows the body's end tag still belongs to it.
     """
-    # a tag in their place keeps the text nodes around them apart
-    text = F.regexp_replace(html, r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)", "<i>")
-    text = F.get(F.split(text, r"(?i)<body\b[^>]*>", 2), F.lit(1))
-    text = F.get(F.split(text, r"(?i)</body\s*>", 2), F.lit(0))
+    # each piece of markup becomes: separator, tag name, separator, title text, separator
+    zero, marks = "\0", "\0$3\0$2\0"
+    pieces = F.split(F.regexp_replace(F.replace(html, F.lit(zero), F.lit("")), _MARKUP, marks), zero)
+    # pieces go by threes: text, the name of the tag behind it, the title behind it
+
+    def opens(piece: Column, k: Column) -> Column:
+        tag = (k % 3 == 1) & (piece != "") & ~F.lower(piece).isin(*_HEAD)
+        return tag | ((k % 3 == 0) & (F.btrim(piece, F.lit(_SPACES)) != ""))
+
+    def shown(pieces: Column) -> Column:
+        begins = F.transform(pieces, lambda piece, k: F.when(opens(piece, k), k))
+        return let(F.array_min(begins), lambda first: F.filter(pieces, lambda p, k: (k >= first) & (k % 3 != 1)))
+
     # references are resolved per text node, so that text itself is computed only once
-    text = F.array_join(
-        F.transform(F.split(text, _TAG), lambda node: strip(_resolved(node))), ""
-    )
+    text = F.array_join(F.transform(let(pieces, shown), lambda node: strip(_resolved(node))), "")
     return F.coalesce(text, F.lit(""))
 
 

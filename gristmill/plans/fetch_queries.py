@@ -276,18 +276,29 @@ def response_class(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT page_id, regexp_replace(replace(replace(regexp_replace(body,
         '\\s*<[/!?A-Za-z][^>]*>\\s*', '', 'g'), '&quot;', '"'), '&nbsp;', chr(160)),
         '&[A-Za-z]+;', '&', 'g') AS text FROM cut)
-    SELECT page_id, length(text) AS visible_chars,
+    SELECT page_id, length(text) AS visible_chars, sha256(text) AS text_hash,
            CASE WHEN regexp_matches(lower(text), 'just a moment|captcha|access denied|unusual traffic')
                   THEN 'soft_block'
                 WHEN length(text) < 50 THEN 'empty_or_js_shell' ELSE 'ok' END AS response_class
     FROM plain"""
 )
 def page_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of pages in four spellings that a parser reads alike: as they are, without body tags,
+    with a `>` in a quoted attribute of the body, and with a tag of very many attributes."""
     pages = table(spark, sf_dir, "pages")
-    shown = pages.select("page_id", classify.visible_text(F.col("html")).alias("text"))
+    many = F.repeat(F.lit(' data-x="a>b" y=\'<i>\''), 3000)
+    spelling, html = F.col("page_id") % 4, F.col("html")
+    respelled = (
+        F.when(spelling == 1, F.regexp_replace(html, "</?body>", ""))
+        .when(spelling == 2, F.replace(html, F.lit("<body>"), F.lit('<BODY class="a>b" id=c>')))
+        .when(spelling == 3, F.replace(html, F.lit("<article>"), F.concat(F.lit("<article"), many, F.lit(">"))))
+        .otherwise(html)
+    )
+    shown = pages.select("page_id", classify.visible_text(respelled).alias("text"))
     return shown.select(
         "page_id",
         F.length("text").cast("long").alias("visible_chars"),
+        F.sha2("text", 256).alias("text_hash"),
         classify.response_class(F.lit(200), F.lit("text/html"), F.col("text")).alias(
             "response_class"
         ),
