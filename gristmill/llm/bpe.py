@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from gristmill.llm.common import bounded_batches, spread
+from gristmill.llm.common import bounded_batches, spread, worker_state
 
 # Entries of a memo before it is emptied; results do not depend on it.
 MEMO = 500_000
@@ -59,7 +59,7 @@ class Encoder:
         self.tokens.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces = Packed(self)
 
     def _stands(self, token: int) -> bool:
         """Do the merges ever produce this token from its bytes?"""
@@ -112,23 +112,40 @@ class Encoder:
                 dead.add((place + len(self.bytes[token]), token))
         return [token for _, token, _ in path]
 
+    def packed(self, text: str) -> bytes:
+        """Token ids of a text, as little-endian unsigned 32-bit integers."""
+        pieces = self.split.findall(text)
+        if len(self.pieces) >= MEMO:
+            self.pieces.clear()
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        memo = self.pieces
-        for piece in self.split.findall(text):
-            ids = memo.get(piece)
-            if ids is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                ids = self._piece(piece.encode("utf-8"))
-                if len(piece) <= 64:
-                    memo[piece] = ids
-            out += ids
-        return out
+        return np.frombuffer(self.packed(text), dtype="<u4").tolist()
 
     def decode(self, ids: list[int]) -> bytes:
-        known = self.bytes
-        return b"".join([known[i] for i in ids])
+        return b"".join(map(self.bytes.__getitem__, ids))
+
+
+class Packed(dict):
+    """Packed ids by piece; a piece that is not there is encoded, and kept unless it is long."""
+
+    def __init__(self, encoder: Encoder) -> None:
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = np.asarray(self.encoder._piece(piece.encode("utf-8")), dtype="<u4").tobytes()
+        if len(piece) <= 64 and len(self) < 2 * MEMO:
+            self[piece] = ids
+        return ids
+
+
+def _encoder(path: str | None) -> Encoder:
+    """The worker's encoder of a vocabulary, which outlives the task."""
+    state, key = worker_state(), ("byte-level BPE", path)
+    if key not in state:
+        state[key] = Encoder(*_vocabulary(path))
+    return state[key]
 
 
 def _vocabulary(path: str | None) -> tuple[bytes, str]:
@@ -159,14 +176,14 @@ def encode_and_decode(
     schema = StructType([f for f in docs.schema.fields if f.name in keep] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*_vocabulary(vocabulary))
+        encoder = _encoder(vocabulary)
         for batch in batches:
             columns: list[list] = [[] for _ in fields]
             for value in batch.column(text):
-                ids = encoder.encode(value.as_py() or "")
-                packed = np.asarray(ids, dtype="<u4").tobytes()
-                raw = encoder.decode(ids)
-                row = [len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(raw).hexdigest()]
+                packed = encoder.packed(value.as_py() or "")
+                raw = encoder.decode(np.frombuffer(packed, dtype="<u4").tolist())
+                n = len(packed) // 4
+                row = [n, hashlib.sha256(packed).hexdigest(), hashlib.sha256(raw).hexdigest()]
                 row += [packed] * with_ids + [raw.decode("utf-8")] * with_decoded
                 for c, v in zip(columns, row, strict=True):
                     c.append(v)

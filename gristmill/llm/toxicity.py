@@ -6,8 +6,9 @@ second person, capitals, punctuation, and marks of obfuscation (characters insid
 no letters, stretched letters). Trees are fitted on part of the training rows; the other part
 calibrates their margin by isotonic regression.
 
-`max_rows` bounds the labelled rows that the trees see (taken by hash order, so alike in every run);
-lexicon counts cover all training rows.
+`max_rows` bounds the labelled rows that lexicon, trees and calibration learn from. They are taken by the
+hash of their id, alike in every run, and from the labels alone: no other text is shuffled. Of rows that
+share a labelled id, the smallest text is learned from.
 
 Rows: null and empty texts have zero features and are scored like any other. Repeated rows score
 alike. Extra columns are not carried along by `score`. Without training rows, or with one label
@@ -125,14 +126,21 @@ def score(
     docs = docs.select("doc_id", "text")
     known = labels.where(train_on & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    train = cut(docs.join(known, "doc_id"), "toxicity-train")
+    # chosen by labels alone, so that no text moves but those that are learned from
+    order = F.xxhash64(F.lit(seed), "doc_id")
+    n_known = known.count()
+    share = F.lit(1.1 * max_rows / max(n_known, 1))
+    chosen = known.where(F.shiftrightunsigned(order, 33) / F.lit(float(1 << 31)) < share)
+    chosen = chosen.orderBy(order, "doc_id").limit(max_rows)
+    train = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    train = cut(train, "toxicity-train")
     total = train.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, n = total["bad"] or 0, total["n"]
     if not 0 < bad < n:
         return docs.select("doc_id", F.lit(bad / n if n else 0.0).alias("score"))
     lex = lexicon(train)
-    order = F.xxhash64(F.lit(seed), "doc_id", "text")
-    bounded = train.orderBy(order, "doc_id").limit(max_rows).withColumn("fit", F.pmod(order, F.lit(3)) != 0)
+    third = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(3))
+    bounded = train.withColumn("fit", third != 0)
     made = VectorAssembler(inputCols=list(FEATURES), outputCol="v")
     rows = cut(features(bounded, lex).select("toxic", "fit", *FEATURES), "toxicity-rows")
     both = rows.groupBy("fit").agg(F.countDistinct("toxic").alias("k")).where("k = 2").count()
