@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions import authority
-from gristmill.operators import breaker, classify, fetchlog, pacing
+from gristmill.operators import breaker, classify, fetchlog, pacing, sketches
 from gristmill.operators import robots as robots_rules
 from gristmill.plans.adapters import (
     document_pages,
@@ -18,6 +18,8 @@ from gristmill.plans.adapters import (
     table,
 )
 from gristmill.plans.catalog import query
+from gristmill.plans.zone_queries import fresh_root
+from gristmill.sources import zones
 
 LOG = """
 log0 AS (
@@ -123,6 +125,34 @@ def latency_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {LOG}
+    SELECT domain, date_trunc('month', ts)::DATE AS month, count(*) AS fetches,
+           round(avg((coalesce(status_code BETWEEN 200 AND 299, FALSE) AND error_kind IS NULL)::INT), 6)
+             AS success_rate, TRUE AS within_bound
+    FROM log GROUP BY ALL"""
+)
+def latency_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly percentiles from stored daily sketches, their ranks held against the log."""
+    log = fetch_log(spark, sf_dir)
+    root = fresh_root(spark, "latency")
+    zones.save_sketches(sketches.daily_latencies(log), root, "latency")
+    monthly = sketches.latency_by_month(zones.read_sketches(spark, root, "latency"))
+    found = log.withColumn("month", F.trunc("ts", "month")).join(
+        monthly.select("domain", "month", F.col("latency_ms").alias("p95")), ["domain", "month"]
+    )
+    # the error has no hard bound: twice what 99 of 100 estimates keep is passed by almost none
+    low, high = 0.95 - 2 * sketches.RANK_ERROR, 0.95 + 2 * sketches.RANK_ERROR
+    ranks = found.groupBy("domain", "month").agg(
+        (F.count_if(F.col("latency_ms") <= F.col("p95")) >= low * F.count("latency_ms")).alias("above"),
+        (F.count_if(F.col("latency_ms") < F.col("p95")) <= high * F.count("latency_ms")).alias("below"),
+    )
+    return monthly.join(ranks, ["domain", "month"]).select(
+        "domain", "month", "fetches", F.round("success_rate", 6).alias("success_rate"),
+        (F.col("above") & F.col("below")).alias("within_bound"),
+    )
+
+
 RESULTS = """
 results AS (
   SELECT 'd' || user_id % 10 AS domain, ts, event_id AS seq,

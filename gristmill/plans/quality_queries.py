@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.operators import quality
+from gristmill.operators import quality, sketches
 from gristmill.plans.adapters import records, table
 from gristmill.plans.catalog import query
+from gristmill.plans.zone_queries import fresh_root
+from gristmill.sources import zones
 
 REC = """
 rec AS (
@@ -236,3 +238,26 @@ def quarantine_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratio = quality.staged_ratio(records(spark, sf_dir), _rejects(spark, sf_dir))
     return ratio.withColumn("staged_ratio", F.round("staged_ratio", 6))
+
+
+@query(
+    """SELECT source AS site_id, count(*) AS records, count(DISTINCT sha256(text)) AS distinct_hashes,
+           TRUE AS within_bound
+    FROM documents WHERE doc_id % 60 BETWEEN 21 AND 50 GROUP BY source"""
+)
+def uniqueness_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness of thirty days of documents from stored daily sketches, held against exact counts."""
+    day = F.date_add(F.lit("2026-01-01"), (F.col("doc_id") % 60).cast("int"))
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("source").alias("site_id"), F.sha2("text", 256).alias("content_hash"), day.alias("day")
+    )
+    root, until = fresh_root(spark, "sketches"), F.to_date(F.lit("2026-02-20"))
+    zones.save_sketches(sketches.daily_hashes(docs, F.col("day")), root, "hashes")
+    merged = sketches.uniqueness_over(zones.read_sketches(spark, root, "hashes"), until)
+    exact = docs.where(F.col("day").between(F.date_sub(until, 29), until)).groupBy("site_id")
+    exact = exact.agg(F.count_distinct("content_hash").alias("exact"))
+    off = F.abs(F.col("distinct_hashes") - F.col("exact"))
+    return merged.join(exact, "site_id").select(
+        "site_id", "records", F.col("exact").alias("distinct_hashes"),
+        (off <= F.greatest(F.lit(1.0), 0.03 * F.col("exact"))).alias("within_bound"),
+    )

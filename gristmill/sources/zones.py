@@ -331,6 +331,16 @@ def upsert(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(changes)
 
 
+def save_sketches(sketches: DataFrame, root: str, name: str) -> None:
+    """Store daily sketches, replacing those of the same days."""
+    _replace(sketches, f"{root}/sketches/{name}", "dt")
+
+
+def read_sketches(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Stored daily sketches; a filter on `dt` prunes days."""
+    return _read(spark, f"{root}/sketches/{name}", None)
+
+
 def save_manifests(manifests: DataFrame, root: str, batch: int) -> None:
     """Store run manifests."""
     append_state(manifests, f"{root}/state/runs", batch)
