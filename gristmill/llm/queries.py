@@ -139,7 +139,23 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p
+)
+SELECT page_id, strlen(h) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(x, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+@query(WARC_SQL)
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives and read back."""
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
@@ -180,7 +196,37 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(calls, results, TOOLS)
 
 
-@query()
+# Bytes stand as pairs of hexadecimal digits. A byte is removed if one of the fifty strings that begin
+# at it or up to 49 bytes before it also begins in a smaller document.
+SUBSTRING_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents
+), windows AS (
+  SELECT doc_id, s, substr(x, 2 * s + 1, 100) AS w
+  FROM (SELECT doc_id, x, unnest(range(n - 49)) AS s FROM d WHERE n >= 50)
+), firsts AS (
+  SELECT w, min(doc_id) AS first FROM windows GROUP BY w
+), hits AS (
+  SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before
+  FROM windows JOIN firsts USING (w) WHERE first < doc_id
+), numbered AS (
+  SELECT doc_id, s, sum((before IS NULL OR s > before + 50)::INT) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM hits
+), spans AS (
+  SELECT doc_id, k, min(s) AS a, max(s) + 50 AS b FROM numbered GROUP BY doc_id, k
+), gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_byte FROM spans
+), kept AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(substr(x, 2 * from_byte + 1, 2 * (a - from_byte)), '' ORDER BY a) AS k
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN x ELSE k || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query(SUBSTRING_SQL)
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that a 50-byte string of an earlier one covers."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
