@@ -33,7 +33,6 @@ from gristmill.session import cut, shared_dir
 
 ARCHIVE_BYTES = 32 << 20
 BLOCK = 256 << 10
-HEADER_BYTES = 1 << 20
 RECORD = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
     "target string, payload binary, block_ok boolean"
@@ -94,7 +93,7 @@ def _members(stream: BinaryIO) -> Iterator[bytearray]:
 def records(stream: BinaryIO) -> Iterator[tuple]:
     """Tuples as in RECORD. Bounded by the largest record."""
     for raw in _members(stream):
-        end = raw.find(b"\r\n\r\n", 0, HEADER_BYTES)
+        end = raw.find(b"\r\n\r\n")
         first, *lines = bytes(raw[:end]).decode("utf-8").split("\r\n")
         if end < 0 or not first.startswith("WARC/"):
             raise ValueError("no record header")

@@ -6,7 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from gristmill.llm import registry
+from gristmill.llm import registry, warc
 
 SMALL = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -78,3 +78,8 @@ def test_toxicity_law(spark, texts):
     for r in got:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_a_very_long_url_is_read_back(spark):
+    pages = spark.createDataFrame([(1, "http://x.example/" + "y" * 3_000_000, "<p>a</p>")], "page_id long, url string, html string")
+    assert [(r.page_id, r.payload_bytes) for r in warc.round_trip(pages).collect()] == [(1, 8)]
