@@ -71,7 +71,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/gristmill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.work_folder = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete the folders of tables that `cut` gave, once all that was read from them is written.
+
+    Until then they must stay: a lost executor's tasks read them again.
+    """
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(table.work_folder)
+        target.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 # Inputs below this size may sit in fewer splits than there are cores.
