@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star rounds.
 
 Each round is an aggregate and a join; nothing is held on the driver. Every round's edges are
-written to the shared folder, so that a lost executor repeats one round only. The rounds end when
-the edges are stars already, after about log^2 of the longest path.
+written to the shared folder, so that a lost executor repeats one round only, and dropped when the
+next round's are written. The rounds end when the edges are stars already, after about log^2 of the longest path.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.session import cut
+from gristmill.session import cut, drop
 
 
 def _directed(edges: DataFrame) -> DataFrame:
@@ -47,7 +47,10 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(_ordered(edges), "components")
     seen = _print(now)
     while True:
-        now = cut(_small_star(cut(_large_star(now), "components")), "components")
+        large = cut(_large_star(now), "components")
+        drop(now)
+        now = cut(_small_star(large), "components")
+        drop(large)
         after = _print(now)
         if after == seen:
             break

@@ -4,12 +4,12 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Equal se
 known by its hash, so copies never meet in a bucket. One hash per shingle fills
 `bins` minima; an empty bin takes the minimum of the first filled bin in its own seeded order of all
 bins (optimal densification: each empty bin probes by its own order). Runs of `rows` bins are band
-keys. In each bucket all members are compared with one centre, so a bucket gives as many pairs as it
-has members. A bucket whose members still lie in several components afterwards goes on with the next
-centres, sixteen times as many in each round; once it has few members left, their remaining pairs
-across components are compared. A bucket is thus left only when no pair in it can join two
-components, after a logarithmic number of rounds, and no link is lost to the star. Candidate pairs
-are confirmed on the full sets.
+keys. In each bucket all members are paired with one centre, so a bucket gives as many candidate
+pairs as it has members, and these are confirmed on the full sets. A bucket whose members then still lie in
+several components is settled in bounded groups of sets: each member outside the bucket's largest
+component is held against the bucket's sets in one array pass, and only pairs that join
+components come out, fewer than members. They are confirmed on the full sets too. No link is lost to
+the star. The array passes of a bucket grow with its members outside the largest component.
 
 At a similarity of 0.85 a pair misses all 40 bands of 6 with a probability under 1e-8, at 0.8 under
 1e-5. Pairs of equal small sets are classes and never miss.
@@ -31,14 +31,12 @@ from pyspark.sql import functions as F
 from gristmill.llm.common import bind, bounded_batches, spread
 from gristmill.llm.graph import components
 from gristmill.llm.quality_rules import words
-from gristmill.session import cut
+from gristmill.session import cut, drop
 
 BINS = 240
 ROWS = 6
-# A bucket with at most so many members left is compared pair by pair across components.
-FEW = 16
-# A bucket has one centre in the first round, and so many times more in each round after it.
-CENTRES = 16
+# Hashes of shingles that a group of buckets, or a slice of a large bucket, holds on the average.
+BLOCK = 500_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -159,66 +157,120 @@ def _sized(percent: int) -> Column:
     return (F.col("a") != F.col("b")) & (100 * small >= percent * large)
 
 
+def _union(pairs: list[tuple[int, int]], labels: np.ndarray) -> None:
+    """Relabel components that pairs of them join."""
+    for x, y in pairs:
+        labels[labels == y] = x
+
+
+def open_links(
+    ids: np.ndarray, label: np.ndarray, values: np.ndarray, offsets: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Pairs of ids of different components that may be linked, enough of them to join all that links join.
+
+    The sets hold 32-bit hashes, so an intersection may be a little smaller than it looks. A pair that
+    holds with a margin for that joins its components here, and one pair is enough for two
+    components; any pair that holds only without the margin is given too.
+    """
+    n = np.diff(offsets)
+    tokens = np.unique(values, return_inverse=True)[1]
+    label = np.unique(label, return_inverse=True)[1]
+    largest = np.bincount(label).argmax()
+    held = np.zeros(tokens.max() + 1, dtype=np.int64)
+    out = []
+    # of two members of different components one is outside the largest
+    for x in np.nonzero(label != largest)[0]:
+        other = label != label[x]
+        if not other.any():
+            break
+        mine = tokens[offsets[x] : offsets[x + 1]]
+        held[mine] = 1
+        common = np.add.reduceat(held[tokens], offsets[:-1])
+        held[mine] = 0
+        near = np.nonzero(other & (100 * common >= percent * (n[x] + n - common)))[0]
+        if not len(near):
+            continue
+        # collisions expected in n * n tries, far exceeded
+        sure = common[near] - 3 - (8 * n[x] * n[near].astype(float) / 2**32).astype(np.int64)
+        sure = 100 * sure >= percent * (n[x] + n[near] - sure)
+        joined, first = np.unique(label[near[sure]], return_index=True)
+        out += [(ids[x], ids[y]) for y in near[~sure]] + [(ids[x], ids[y]) for y in near[sure][first]]
+        _union([(label[x], y) for y in joined], label)
+    return out
+
+
+def settled(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that may join components within buckets; `live` is (bucket, id, n, c).
+
+    Sets travel to their buckets as 32-bit hashes. Small buckets share a group of about BLOCK hashes. A
+    larger bucket is dealt into slices by id, and every two slices meet in a group of their own, so
+    a group is bounded however large a bucket is.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("bucket")
+        bucket, ids, label = (np.asarray(table.column(c)) for c in ("bucket", "id", "c"))
+        lists = table.column("s").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        offsets, values = np.asarray(lists.offsets).astype(np.int64), np.asarray(lists.values)
+        ends = np.append(np.nonzero(np.diff(bucket))[0] + 1, len(bucket))
+        out, at = [], 0
+        for end in ends:
+            if (label[at:end] != label[at]).any():
+                low, high = offsets[at], offsets[end]
+                out += open_links(ids[at:end], label[at:end], values[low:high], offsets[at : end + 1] - low, percent)
+            at = end
+        pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs.min(axis=1, initial=2**63 - 1), "b": pairs.max(axis=1, initial=-(2**63))})
+
+    about = live.groupBy("bucket").agg(
+        F.sum("n").alias("total"), F.min("c").alias("c_lo"), F.max("c").alias("c_hi")
+    )
+    about = about.where("c_lo < c_hi").select(
+        "bucket", "total", F.ceil(F.col("total") / BLOCK).cast("int").alias("slices")
+    )
+    about = cut(about, "minhash-open")
+    packs = (about.where("slices = 1").agg(F.sum("total")).first()[0] or 0) // BLOCK + 1
+    mine = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
+    every = F.sequence(F.lit(0), F.col("slices") - 1)
+    whole = F.col("slices") == 1
+    dealt = live.join(about, "bucket").select(
+        "bucket", "id", "c", mine.alias("mine"), whole.alias("whole"),
+        F.explode(F.when(whole, F.array(F.lit(0))).otherwise(F.array_except(every, F.array(mine)))).alias("other"),
+    )
+    small = F.transform("s", lambda x: x.bitwiseAND(0xFFFFFFFF))
+    # as signed 32-bit numbers
+    small = F.transform(small, lambda x: F.when(x > 0x7FFFFFFF, x - 0x100000000).otherwise(x).cast("int"))
+    dealt = dealt.join(sets.select("id", small.alias("s")), "id").select(
+        F.when(F.col("whole"), F.pmod(F.xxhash64("bucket"), F.lit(packs))).otherwise(F.col("bucket")).alias("g"),
+        F.when(F.col("whole"), -1).otherwise(F.least("mine", "other")).alias("i"),
+        F.when(F.col("whole"), -1).otherwise(F.greatest("mine", "other")).alias("j"),
+        "bucket", "id", "c", "s",
+    )
+    return dealt.groupBy("g", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
 def links(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Confirmed links (a, b), enough of them to connect all that any bucket's pairs connect.
 
     `members` is (bucket, id, n); `sets_of` gives the full sets (id, s) of the ids of a table.
     """
-    spark = members.sparkSession
-    many = (
-        members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-        .where(F.col("lo") != F.col("hi")).select("bucket")
-    )
-    members = cut(members.join(many, "bucket"), "minhash-shared")
-    found = spark.createDataFrame([], "a long, b long")
-    tried = spark.createDataFrame([], "a long, b long")
-    labels, centres_now = None, 1
-    while True:
-        if labels is None:
-            live = members.withColumn("c", F.col("id"))
-        else:
-            live = members.join(labels, "id", "left").withColumn("c", F.coalesce("c", "id"))
-        about = live.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("m"), F.min("c").alias("c_lo"), F.max("c").alias("c_hi")
-        )
-        about = about.where(F.col("c_lo") != F.col("c_hi")).select("bucket", "m")
-        live = cut(live.join(about, "bucket"), "minhash-live")
-        if live.isEmpty():
-            return found
-        large = live.where(F.col("m") > FEW)
-        # one centre settles most buckets; those left go on with more at a time
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-        centres = large.withColumn("rank", rank).where(F.col("rank") <= centres_now)
-        centres = cut(centres.select("bucket", "id", "n", "c"), "minhash-centres")
-        others = large.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-        across = _sized(percent) & (F.col("ca") != F.col("cb"))
-        # pairs within a component never leave the join
-        star = centres.toDF("bucket", "a", "na", "ca").withColumnRenamed("bucket", "of").join(
-            others, (F.col("of") == F.col("bucket")) & (F.col("a") < F.col("b")) & across
-        )
-        star = star.select("a", "na", "ca", "b", "nb", "cb")
-        few = live.where(F.col("m") <= FEW).groupBy("bucket").agg(
-            F.sort_array(F.collect_list(F.struct("id", "n", "c"))).alias("x")
-        )
-        few = few.select("x", F.explode("x").alias("p")).select("p", F.explode("x").alias("q"))
-        few = few.where(F.col("p.id") < F.col("q.id")).select(
-            F.col("p.id").alias("a"), F.col("p.n").alias("na"), F.col("p.c").alias("ca"),
-            F.col("q.id").alias("b"), F.col("q.n").alias("nb"), F.col("q.c").alias("cb"),
-        )
-        pairs = star.unionByName(few.where(across))
-        pairs = pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "minhash-pairs")
-        tried = tried.unionByName(pairs)
-        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-        sets = cut(sets_of(ids.distinct()), "minhash-sets")
-        new = cut(_verified(pairs, sets, percent), "minhash-links")
-        found = found.unionByName(new)
-        # a finished centre leaves its bucket, and so does a bucket compared pair by pair
-        left = large.select("bucket", "id", "n").join(centres.select("bucket", "id"), ["bucket", "id"], "left_anti")
-        members = cut(left, "minhash-members")
-        centres_now *= CENTRES
-        if labels is None or not new.isEmpty():
-            labels = components(found).withColumnRenamed("component", "c")
+    centre = members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("centre"), F.max("id").alias("hi"))
+    centre = centre.where(F.col("centre.id") < F.col("hi")).select("bucket", "centre")
+    shared = cut(members.join(centre, "bucket"), "minhash-shared")
+    sets = cut(sets_of(shared.select("id").distinct()), "minhash-sets")
+    pairs = shared.select(
+        F.col("centre.id").alias("a"), F.col("centre.n").alias("na"), F.col("id").alias("b"), F.col("n").alias("nb")
+    )
+    pairs = pairs.where(_sized(percent)).select("a", "b").distinct()
+    star = cut(_verified(pairs, sets, percent), "minhash-star")
+    label = components(star).withColumnRenamed("component", "c")
+    live = shared.select("bucket", "id", "n").join(label, "id", "left").withColumn("c", F.coalesce("c", "id"))
+    live = cut(live, "minhash-live")
+    drop(shared)
+    rest = cut(_verified(settled(live, sets, percent), sets, percent), "minhash-links")
+    drop(live, sets)
+    return star.unionByName(rest)
 
 
 def near_duplicates(
@@ -248,6 +300,7 @@ def near_duplicates(
         return made.join(wanted.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
     found = links(members, sets_of, percent)
+    drop(members)
     # an id may stand on several rows; then it links its classes
     pairs = real.select("doc_id", "id").distinct()
     several = pairs.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("hi")).where("a < hi")
