@@ -283,8 +283,8 @@ def near_duplicates(
     rows: int = ROWS,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) and kept, per row."""
-    every = cut(banded(spread(docs), id_col, text, shingle_words, bins, rows), "minhash-bands")
-    every = every.withColumn("id", F.xxhash64("n", "x", "y"))
+    bands = cut(banded(spread(docs), id_col, text, shingle_words, bins, rows), "minhash-bands")
+    every = bands.withColumn("id", F.xxhash64("n", "x", "y"))
     real = every.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "id", "n", "bands")
     # a class is known by its hash, and its set is read from the row of its smallest document
     classes = cut(real.groupBy("id").agg(F.min("doc_id").alias("lo")), "minhash-classes")
@@ -311,9 +311,12 @@ def near_duplicates(
     low = label.groupBy("c").agg(F.min("lo").alias("low"))
     moved = label.join(low, "c").select("id", "low")
     of_id = pairs.join(moved, "id").groupBy("doc_id").agg(F.min("low").alias("low"))
-    return (
+    out = (
         every.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
         .join(of_id, "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+    out = cut(out, "minhash-result")
+    drop(bands, classes, label)
+    return out

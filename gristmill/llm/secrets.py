@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import bounded_batches, named, spread
-from gristmill.session import cut
+from gristmill.session import cut, drop
 
 # The base kinds in their order, with the pattern and the group and length kept.
 BASE = {
@@ -42,6 +42,8 @@ ALL = [*BASE, *ADDED]
 SHARED_OWNERS = 2
 # Bits per character from which on a value looks random.
 RANDOM_BITS = 2.5
+# Live values that redaction gives to every task, at 32 characters each.
+LIVE_VALUES = 200_000
 
 SPAN = "kind string, start int, end int, value_hash string, random boolean"
 
@@ -57,6 +59,10 @@ def spans_of(text: str, rules: dict[str, re.Pattern]) -> list[tuple]:
     return sorted(out)
 
 
+def _digest(value: str) -> str:
+    return hashlib.sha256(value.encode()).hexdigest()[:32]
+
+
 def _random(value: str) -> bool:
     counts = [value.count(c) for c in set(value)]
     return -sum(n / len(value) * math.log2(n / len(value)) for n in counts) >= RANDOM_BITS
@@ -89,7 +95,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
                     [
                         {
                             "kind": k, "start": s, "end": e,
-                            "value_hash": hashlib.sha256(v.encode()).hexdigest()[:32], "random": _random(v),
+                            "value_hash": _digest(v), "random": _random(v),
                         }
                         for s, _, k, e, v in spans_of(value.as_py() or "", rules)
                     ]
@@ -119,7 +125,9 @@ def live_values(found: DataFrame, repository: str, owner: str, shared_owners: in
     spans = found.select(
         F.col(repository).alias("repository"), F.col(owner).alias("owner"), F.explode("spans").alias("s")
     ).where("s.random")
-    counted = ownership(spans.select(F.col("s.value_hash").alias("value_hash"), "repository", "owner"))
+    # both counts read the distinct values, which are found once
+    values = spans.select(F.col("s.value_hash").alias("value_hash"), "repository", "owner").distinct()
+    counted = ownership(cut(values, "secret-owners"))
     return counted.where(F.col("n_owners") < shared_owners)
 
 
@@ -148,6 +156,37 @@ def scan(
     return rows.join(marked, "row", "left").drop("row")
 
 
+def _cleaned(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    """The text with `mark` for every span; of spans that overlap each has its mark."""
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if end > at:
+            out += [text[at : max(at, start)], mark]
+            at = end
+    return "".join([*out, text[at:]])
+
+
+def _redact_known(docs: DataFrame, text: str, mark: str, live: frozenset[str]) -> DataFrame:
+    """`docs` with `mark` in the place of spans with a random value among `live`; one scan, no shuffle."""
+    known = docs.sparkSession.sparkContext.broadcast(live)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = _compiled()
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            for k, t in enumerate(texts):
+                spans = [
+                    (s, e) for s, _, _, e, v in spans_of(t or "", rules) if _digest(v) in known.value and _random(v)
+                ]
+                if spans:
+                    texts[k] = _cleaned(t, spans, mark)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
+
+
 def redact(
     docs: DataFrame,
     text: str = "text",
@@ -156,13 +195,28 @@ def redact(
     mark: str = "<secret>",
     shared_owners: int = SHARED_OWNERS,
 ) -> DataFrame:
-    """`docs` with `mark` in the place of every span that looks live; all rows and columns stay."""
+    """`docs` with `mark` in the place of every span that looks live; all rows and columns stay.
+
+    The values are found in a first scan, of which narrow rows alone are shuffled. Up to LIVE_VALUES live
+    ones go to the tasks of a second scan; beyond that, rows are joined with their live spans.
+    """
+    owned = docs.select(
+        F.col(text).alias("text"), F.col(repository).alias("repository"), F.col(owner).alias("owner")
+    )
+    owned = find(owned).select("repository", "owner", F.col("found").alias("spans"))
+    live = cut(live_values(owned, "repository", "owner", shared_owners).select("value_hash"), "secret-live")
+    if live.count() > LIVE_VALUES:
+        return _redact_joined(docs, text, mark, live)
+    known = frozenset(r.value_hash for r in live.collect())
+    drop(live)
+    return _redact_known(docs, text, mark, known)
+
+
+def _redact_joined(docs: DataFrame, text: str, mark: str, live: DataFrame) -> DataFrame:
+    """As `_redact_known`, for any number of live values: rows are joined with their live spans."""
     name, row, live_at = named(docs, ["found", "row", "live_at"])
     found = cut(find(docs, text).withColumn(row, F.monotonically_increasing_id()), "secret-redact")
-    spans = found.where(F.size(name) > 0).select(
-        row, F.col(repository).alias("repository"), F.col(owner).alias("owner"), F.col(name).alias("spans")
-    )
-    live = live_values(spans, "repository", "owner", shared_owners).select("value_hash")
+    spans = found.where(F.size(name) > 0).select(row, F.col(name).alias("spans"))
     marked = (
         spans.select(row, F.explode("spans").alias("s"))
         .select(row, F.col("s.start").alias("a"), F.col("s.end").alias("b"), F.col("s.value_hash").alias("value_hash"), F.col("s.random").alias("random"))
