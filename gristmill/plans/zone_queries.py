@@ -114,6 +114,27 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT CASE WHEN page_id % 3 = 0 THEN '007' ELSE regexp_extract(url, '^https?://([^/?#]*)', 1) END
+             AS site, '2026-01-01' AS dt, 'r' || page_id % 2 AS run, substr(sha256(url), 1, 16) AS url_hash,
+           sha256(html) AS body_hash
+    FROM pages WHERE page_id % 2 = 1
+    QUALIFY row_number() OVER (PARTITION BY site, url_hash ORDER BY page_id DESC) = 1"""
+)
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`pages` stored as single gzip objects, and those of one run read back; a site is called 007."""
+    root = fresh_root(spark, "files")
+    named = F.when(F.col("page_ord") % 3 == 0, "007").otherwise(F.col("site_id"))
+    run = F.concat(F.lit("r"), F.col("page_ord") % 2)
+    zones.write_raw_files(
+        _fetched(spark, sf_dir).withColumns({"site_id": named, "run_id": run}), root
+    ).agg(F.sum("length")).first()
+    stored = zones.read_raw_files(spark, root).where("run = 'r1'")
+    return stored.select(
+        "site", F.col("dt").cast("string").alias("dt"), "run", "url_hash", F.sha2("body", 256).alias("body_hash")
+    )
+
+
 def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return pages.select(

@@ -10,14 +10,17 @@ One job at a time may write to a root.
 from __future__ import annotations
 
 import gzip
+import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructType
+from pyspark.sql.types import BinaryType, DateType, LongType, StringType, StructType
 
 from gristmill import schemas
 from gristmill.functions import stored_url
@@ -183,30 +186,72 @@ def read_raw(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, f"{root}/raw", None)
 
 
-def read_raw_files(spark: SparkSession, path: str) -> DataFrame:
-    """Pages kept as single `.html.gz` objects in site=/dt=/run= folders: the partition columns,
-    `url_hash` and the unpacked `body`."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.html.gz")
-        .option("basePath", path)
-        .load(path)
-    )
-    named = files.select(
-        F.col("site").cast("string").alias("site"),
-        F.col("dt").cast("date").alias("dt"),
-        F.col("run").cast("string").alias("run"),
-        F.regexp_extract("path", r"([^/]+)\.html\.gz$", 1).alias("url_hash"),
-        F.col("content").alias("body"),
+RAW_FILES = "path string, modificationTime timestamp, length bigint, content binary, site string, dt date, run string"
+
+
+def write_raw_files(pages: DataFrame, root: str) -> DataFrame:
+    """Store each page's body as one `.html.gz` object in site=/dt=/run= folders below `root`, a folder
+    that all executors reach; gives the keys and packed sizes of what was stored.
+
+    Tasks write the objects, under names that follow from the page alone and in one piece, so a task that
+    is run again writes the same objects. Of several pages with one key the last wins. For very many
+    pages `write_raw` packs them into few files. The names of sites and runs are percent-encoded, as
+    Spark does in folder names. Objects are written when the result is evaluated.
+    """
+    rows = pages.select(
+        F.concat_ws(
+            "/",
+            F.concat(F.lit("site="), _folder(F.col("site_id"))),
+            F.concat(F.lit("dt="), F.to_date("fetched_at").cast("string")),
+            F.concat(F.lit("run="), _folder(F.col("run_id"))),
+            F.concat(url_hash(F.col("url")), F.lit(".html.gz")),
+        ).alias("key"),
+        F.struct("fetched_at", "page_ord", F.coalesce("body", F.lit(b"")).alias("body")).alias("page"),
     )
+    last = rows.groupBy("key").agg(F.max("page").alias("page")).select("key", "page.body")
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", root) if ":/" in root else f"file://{root}")
         for batch in batches:
-            bodies = [gzip.decompress(b) for b in batch.column("body").to_pylist()]
-            at = batch.schema.get_field_index("body")
-            yield batch.set_column(at, "body", pa.array(bodies, pa.binary()))
+            sizes = []
+            for key, body in zip(*(batch.column(c).to_pylist() for c in ("key", "body")), strict=True):
+                packed = gzip.compress(body, mtime=0)
+                target = f"{base}/{key}"
+                files.create_dir(target.rpartition("/")[0], recursive=True)
+                part = f"{target}.{uuid.uuid4().hex}.part"
+                with files.open_output_stream(part) as out:
+                    out.write(packed)
+                files.move(part, target)
+                sizes.append(len(packed))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sizes, pa.int64())], names=["key", "length"])
+
+    return last.mapInArrow(store, "key string, length long")
+
 
-    return named.mapInArrow(unpack, named.schema)
+def _folder(c: Column) -> Column:
+    # the characters that Spark's own folder names escape; a reader turns them back
+    for sign in '%"#\'*/:=?\\{[]^':
+        c = F.replace(c, F.lit(sign), F.lit(f"%{ord(sign):02X}"))
+    return c
+
+
+@F.arrow_udf(BinaryType())
+def _unpacked(content: pa.Array) -> pa.Array:
+    return pa.array([None if b is None else gzip.decompress(b) for b in content.to_pylist()], pa.binary())
+
+
+def read_raw_files(spark: SparkSession, path: str) -> DataFrame:
+    """Pages kept as single `.html.gz` objects in site=/dt=/run= folders: the partition columns as their
+    folders spell them (`007` is no number), `url_hash`, the packed `length` and the unpacked `body`.
+
+    A filter on site, dt or run lists the folders that match and opens no other object; one on `length`
+    is judged on the listing. Without `body` no object is unpacked. One object must fit a task.
+    """
+    files = spark.read.schema(RAW_FILES).format("binaryFile").option("pathGlobFilter", "*.html.gz")
+    name = F.regexp_extract("path", r"([^/]+)\.html\.gz$", 1).alias("url_hash")
+    return files.option("basePath", path).load(path).select(
+        "site", "dt", "run", name, "length", _unpacked("content").alias("body")
+    )
 
 
 def records_out(records: DataFrame) -> DataFrame:

@@ -154,6 +154,32 @@ def test_raw_files_are_unpacked(spark, tmp_path):
     assert row.dt == datetime.date(2026, 1, 1)
 
 
+def test_raw_files_keep_names_and_open_what_is_asked_for(spark, tmp_path):
+    root = str(tmp_path / "files")
+    odd = "a/b=c: 50%"
+    pages = spark.createDataFrame(
+        [("007", "01", 0, "u1", b"<p>\xff</p>"), (odd, "01", 1, "u2", b""), ("007", "2", 2, "u3", None),
+         ("007", "01", 5, "u1", b"later")],
+        "site_id string, run_id string, page_ord int, url string, body binary",
+    ).withColumn("fetched_at", F.lit(T0))
+    for _ in range(2):  # a repeat writes the same objects
+        stored = zones.write_raw_files(pages, root).collect()
+    assert len(stored) == len({r.key for r in stored}) == 3
+    assert sorted(p.suffix for p in (tmp_path / "files").rglob("*.*") if p.is_file() and p.name[0] != ".") == [".gz"] * 3
+    read = zones.read_raw_files(spark, root)
+    got = {(r.site, r.run): bytes(r.body) for r in read.collect()}
+    assert got == {("007", "01"): b"later", (odd, "01"): b"", ("007", "2"): b""}
+    # what does not match is not opened: here it cannot be unpacked
+    bad = tmp_path / "files/site=bad/dt=2026-01-01/run=01"
+    bad.mkdir(parents=True)
+    (bad / "0.html.gz").write_bytes(b"not gzip")
+    assert read.sparkSession is spark and zones.read_raw_files(spark, root).where("site = '007'").count() == 2
+    one = zones.read_raw_files(spark, root).where("site = '007' and run = '01'")
+    assert [bytes(r.body) for r in one.collect()] == [b"later"]
+    assert "PartitionFilters: [isnotnull(site" in one._jdf.queryExecution().toString()
+    assert {r.length for r in zones.read_raw_files(spark, root).select("site", "length").where("length < 10").collect()} == {8}
+
+
 def test_state_reads_snapshot_and_later_changes(spark, tmp_path):
     path = str(tmp_path / "state")
     schema = "k string, v int"
