@@ -3,9 +3,13 @@ get holes and errors by arithmetic on the key, so that each operator has work to
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.session import small_table
+
 KEY_TIME = "timestamp'2026-01-01 00:00:00'"
 
 
@@ -285,6 +289,35 @@ def shop_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings, quotes and articles as one table of raw pages."""
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            pages(spark, sf_dir).withColumns({"page_ord": F.col("page_ord").cast("int"), "body": F.col("body").cast("binary")})
+            for pages in (listing_pages, quote_pages, article_pages)
+        ],
+    )
+
+
+def all_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry rows of the sites of `all_pages`."""
+    more = small_table(
+        spark, [("quotes", "quote", True, "strict"), ("articles", "article", True, "strict")],
+        "id string, module string, enabled boolean, dq_profile string",
+    )
+    return shop_registry(spark, sf_dir).unionByName(more)
+
+
+def all_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per site of `all_pages`."""
+    runs = all_sites(spark, sf_dir).select(
+        F.lit("r1").alias("run_id"), F.col("id").alias("site_id"), F.expr(KEY_TIME).alias("started_at"),
+        F.lit("v1").alias("scraper_version"), F.lit("local").alias("backend"),
+    )
+    return runs
+
+
 def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`documents` as quote pages, the whole text being the quote; some lack text or author."""
     docs = table(spark, sf_dir, "documents")

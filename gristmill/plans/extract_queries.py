@@ -229,15 +229,19 @@ def quote_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """WITH lines AS (
+LEADS = r"""
+lines AS (
       SELECT doc_id, source, string_split(text, chr(10)) AS raw FROM documents),
     cleaned AS (
       SELECT doc_id, source, list_transform(range(1, len(raw) + 1), lambda i: trim(regexp_replace(regexp_replace(
         CASE WHEN i < len(raw) THEN trim(raw[i]) || ' ,' ELSE trim(raw[i]) END,
-        '\\s+([,.;:])', '\\1', 'g'), '\\s+', ' ', 'g'))) AS ps
+        '\s+([,.;:])', '\1', 'g'), '\s+', ' ', 'g'))) AS ps
       FROM lines),
-    leads AS (SELECT doc_id, source, list_filter(ps, lambda p: length(p) >= 80)[1] AS lead FROM cleaned)
+    leads AS (SELECT doc_id, source, list_filter(ps, lambda p: length(p) >= 80)[1] AS lead FROM cleaned)"""
+
+
+@query(
+    f"""WITH {LEADS}
     SELECT doc_id AS page_ord, CASE WHEN lead IS NULL THEN 'reject' ELSE 'record' END AS kind,
            CASE WHEN lead IS NULL THEN 'no substantial lead paragraph found' END AS reason,
            CASE WHEN lead IS NOT NULL THEN sha256('Doc ' || doc_id || '|' || lead) END AS content_hash,

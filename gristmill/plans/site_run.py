@@ -44,7 +44,7 @@ def run_batch(
 
     `pages` should be a stored table, since it is read twice: into the raw zone and by the parser.
     `batch` numbers this job; by default it is the next one, or that of an earlier job over the same
-    runs, whose results a repeat replaces. Writes in this order: raw, staging, seen hashes, curated,
+    runs, whose results a repeat replaces. Writes in this order: raw, staging, attributes, seen hashes, curated,
     quarantine, report, manifest, commit. Until the commit, readers of the zones see what was there
     before. With `mark_before_gate` the hashes of a failed batch are marked too and stay out until
     they expire.
@@ -77,6 +77,7 @@ def run_batch(
     promoted = quality.promote(kept, gates)
 
     zones.write_staging(kept, runs, root, job.attempt)
+    zones.write_attributes(kept, runs, root, job.attempt)
     marked = dedupe.seen_rows(kept if mark_before_gate else promoted, ttl_days=ttl_days)
     seen.save(marked, root, job.batch, alive_at=F.lit(first_start))
     zones.write_curated(promoted, runs, root, job.attempt)

@@ -7,8 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.operators import extract
+from gristmill.operators import attributes, extract
 from gristmill.plans.adapters import (
+    all_pages,
+    all_runs,
+    all_sites,
     listing_pages,
     naive,
     shop_registry,
@@ -16,7 +19,7 @@ from gristmill.plans.adapters import (
     table,
 )
 from gristmill.plans.catalog import query
-from gristmill.plans.extract_queries import ITEMS
+from gristmill.plans.extract_queries import ITEMS, LEADS
 from gristmill.session import shared_dir
 from gristmill.sources import registry, zones
 
@@ -338,3 +341,69 @@ def latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = zones.latest_reports(zones.read_zone(spark, root, "reports"))
     counts = zones.committed(spark, root).select("site_id", "run_id", "staged", "curated")
     return latest.select("site_id", "run_id").join(counts, ["site_id", "run_id"])
+
+
+ATTRIBUTES = f"""{ITEMS}, {LEADS},
+found AS (
+  SELECT site_id AS site, sha256(site_id || ':' || source_url) AS record_id, rating, image_url,
+         NULL AS author, NULL AS tags, NULL AS short_description, NULL AS summary
+  FROM items WHERE reason IS NULL
+  UNION ALL
+  SELECT 'quotes', sha256('quotes:https://quotes.example/' || doc_id || ':' || trim(text, chr(10) || ' ')),
+         NULL, NULL, source, [lang, 'all'], NULL, NULL
+  FROM documents WHERE doc_id % 15 <> 0 AND doc_id % 10 <> 0
+  UNION ALL
+  SELECT 'articles', sha256('articles:https://wiki.example/' || doc_id), NULL, NULL, NULL, NULL,
+         CASE WHEN doc_id % 7 <> 0 THEN source END, lead
+  FROM leads WHERE lead IS NOT NULL)"""
+
+
+def _stored_attributes(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Attributes of listings, quotes and articles, written to their zone and read back."""
+    root = fresh_root(spark, name)
+    runs = all_runs(spark, sf_dir)
+    extracted = extract.extract_sites(all_pages(spark, sf_dir).drop("module"), all_sites(spark, sf_dir))
+    zones.write_attributes(extract.records_of(extracted, runs), runs, root)
+    zones.commit(runs, root, 0)
+    return zones.read_zone(spark, root, "attributes").select("site", "record_id", "attributes")
+
+
+@query(
+    f"""WITH {ATTRIBUTES}
+    SELECT site, record_id, '$.rating' AS path, 'BIGINT' AS type, rating::VARCHAR AS value
+    FROM found WHERE site LIKE 'shop%'
+    UNION ALL SELECT site, record_id, '$.image_url', 'STRING', image_url FROM found WHERE site LIKE 'shop%'
+    UNION ALL SELECT site, record_id, '$.author', 'STRING', author FROM found WHERE site = 'quotes'
+    UNION ALL SELECT site, record_id, '$.tags', 'ARRAY<STRING>', '["' || tags[1] || '","' || tags[2] || '"]'
+    FROM found WHERE site = 'quotes'
+    UNION ALL SELECT site, record_id, '$.short_description',
+                     CASE WHEN short_description IS NULL THEN 'VOID' ELSE 'STRING' END, short_description
+    FROM found WHERE site = 'articles'
+    UNION ALL SELECT site, record_id, '$.summary', 'STRING', summary FROM found WHERE site = 'articles'"""
+)
+def attributes_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every attribute of every record of all page kinds, by path."""
+    return attributes.by_path(_stored_attributes(spark, sf_dir, "paths"))
+
+
+@query(
+    f"""WITH {ATTRIBUTES}
+    SELECT site, count(*) AS records, sum(rating)::BIGINT AS ratings, count(author) AS authors,
+           coalesce(sum(len(tags)), 0)::BIGINT AS tags, coalesce(sum(length(summary)), 0)::BIGINT AS summary_chars
+    FROM found GROUP BY site"""
+)
+def attributes_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per site over typed paths, of which the scan reads only these."""
+    paths = {
+        "rating": ("$.rating", "bigint"), "author": ("$.author", "string"), "tags": ("$.tags", "array<string>"),
+        "summary": ("$.summary", "string"),
+    }
+    rows = attributes.typed(_stored_attributes(spark, sf_dir, "typed"), paths)
+    zero = F.lit(0).cast("long")
+    return rows.groupBy("site").agg(
+        F.count("*").alias("records"),
+        F.sum("rating").alias("ratings"),
+        F.count("author").alias("authors"),
+        F.coalesce(F.sum(F.when(F.col("tags").isNotNull(), F.size("tags"))), zero).alias("tags"),
+        F.coalesce(F.sum(F.length("summary")), zero).alias("summary_chars"),
+    )

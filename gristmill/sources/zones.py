@@ -1,6 +1,6 @@
 """Zone tables under one root folder: raw, staging, curated, quarantine, reports and state.
 
-A job writes staging, curated, quarantine and reports under an attempt number of its own and names
+A job writes staging, attributes, curated, quarantine and reports under an attempt number of its own and names
 that attempt in the commit table last. Readers see, of each site and run, the rows of the newest
 committed attempt only: what a repeat no longer has is gone, a job that broke off is not seen, and a
 run without rows is known to have none. Raw pages and state logs replace their own partitions.
@@ -24,6 +24,7 @@ from pyspark.sql.types import BinaryType, DateType, LongType, StringType, Struct
 
 from gristmill import schemas
 from gristmill.functions import stored_url
+from gristmill.operators.attributes import parsed
 from gristmill.operators.dedupe import first_per_key
 from gristmill.operators.quality import BATCH
 from gristmill.schemas import RECORD_COLUMNS
@@ -88,6 +89,7 @@ def read_zone(
 # Zone: the column that holds the site, and the files' format.
 ZONES = {
     "staging": ("site", "parquet"),
+    "attributes": ("site", "parquet"),
     "curated": ("domain", "parquet"),
     "quarantine": ("site", "json"),
     "reports": ("site_id", "parquet"),
@@ -280,6 +282,12 @@ def write_staging(records: DataFrame, runs: DataFrame, root: str, attempt: int =
     _replace(rows, f"{root}/staging", "site", "dt", "run", "attempt")
 
 
+def write_attributes(records: DataFrame, runs: DataFrame, root: str, attempt: int = 0) -> None:
+    """Attributes of all kept records as VARIANT, apart from the published columns."""
+    rows = records.select("record_id", *BATCH, parsed(F.col("attributes")).alias("attributes"))
+    _replace(_attempted(_dated(rows, "site", runs), attempt), f"{root}/attributes", "site", "dt", "run", "attempt")
+
+
 def write_curated(promoted: DataFrame, runs: DataFrame, root: str, attempt: int = 0) -> None:
     """Records of batches that passed or warned."""
     rows = _attempted(_dated(records_out(promoted), "domain", runs), attempt)
