@@ -48,7 +48,8 @@ PROFILES = {
 }
 
 # ---- fixed values: article clean-up patterns -----------------------------------------------
-CITATION_MARKER = r"\[\s*\w+\s*\]"
+# letters, numbers of any kind and the underscore in brackets; %s stands for whitespace
+CITATION_MARKER = r"\[[%s]*[\p{L}\p{N}_]+[%s]*\]"
 CLOSING_PUNCTUATION = ",.;:"
 MIN_LEAD_CHARS = 80
 
@@ -121,3 +122,10 @@ DETAIL_UNIQUENESS = "%d unique of %d content hashes"
 DETAIL_VALIDITY = "%d of %d records failed a validity check"
 DETAIL_VALIDITY_EMPTY = "no records to validate"
 DETAIL_CONSISTENCY = "price and currency must both be present or both be absent"
+
+# Hours east of Greenwich of the zone names that dates in mail and HTTP headers may carry.
+ZONE_HOURS = {
+    "UT": 0, "UTC": 0, "GMT": 0, "Z": 0,
+    "AST": -4, "ADT": -3, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5,
+    "MST": -7, "MDT": -6, "PST": -8, "PDT": -7,
+}

@@ -41,7 +41,7 @@ def clean_article_text(c: Column) -> Column:
     Whitespace is made plain and single first; then the space before a punctuation mark is one
     fixed pair of characters, which needs no pattern.
     """
-    c = F.regexp_replace(c, "(?U)" + V.CITATION_MARKER, "")
+    c = F.regexp_replace(c, V.CITATION_MARKER.replace("%s", WHITESPACE), "")
     c = F.translate(c, WHITESPACE, " " * len(WHITESPACE))
     c = F.regexp_replace(c, " {2,}", " ")
     for mark in V.CLOSING_PUNCTUATION:

@@ -9,17 +9,48 @@ from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
 from gristmill.functions import strip
+from gristmill.functions.text import let
 
 FETCH_ERROR = "fetch_error"  # error_kind of a network failure or timeout
 ROBOTS_DISALLOWED = "robots_disallowed"
 
-# HTTP dates without their weekday, which Spark does not parse.
-_HTTP_DATES = (
-    "d MMM yyyy HH:mm:ss z",
-    "d MMM yyyy HH:mm:ss XX",
-    "dd-MMM-yy HH:mm:ss z",
-    "d MMM yyyy HH:mm:ss",
-)
+_CLOCK = r"(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?"
+# day, month, year, clock, zone: with spaces or dashes, with or without weekday and seconds
+_DATED = r"^(?:[A-Za-z]+,?\s*)?(\d{1,2})[ -]+([A-Za-z]{3})[A-Za-z]*[ -]+(\d{2}|\d{4})\s+" + _CLOCK + r"\s*([A-Za-z]+|[+-]\d{4})?$"
+# month, day, clock, year: the C library's form
+_ASCTIME = r"^(?:[A-Za-z]+,?\s+)?([A-Za-z]{3})\s+(\d{1,2})\s+" + _CLOCK + r"\s+(\d{4})$"
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def http_date(value: Column) -> Column:
+    """The instant that an HTTP date names in any of its three forms, else null.
+
+    Seconds may be missing. Two-digit years from 69 on lie in the last century. A date without a zone, or
+    with a name that is not known, is in UTC.
+    """
+
+    def part(pattern: str, group: int) -> Column:
+        return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
+
+    def either(dated: int, asctime: int) -> Column:
+        return F.coalesce(part(_DATED, dated), part(_ASCTIME, asctime))
+
+    year = part(_DATED, 3)
+    short = year.cast("int") + F.when(year.cast("int") >= 69, 1900).otherwise(2000)
+    year = F.coalesce(F.when(F.length(year) == 2, short).otherwise(year.cast("int")), part(_ASCTIME, 6).cast("int"))
+    place = F.instr(F.lit(_MONTHS), F.lower(either(2, 1)))
+    month = F.when(place % 3 == 1, ((place + 2) / 3).cast("int"))
+    second = F.coalesce(either(6, 5).cast("int"), F.lit(0))
+    local = F.try_make_timestamp(
+        year, month, either(1, 2).cast("int"), either(4, 3).cast("int"), either(5, 4).cast("int"),
+        F.when(second < 60, second), F.lit("UTC"),
+    )
+    zone = F.coalesce(part(_DATED, 7), F.lit("GMT"))
+    minutes = F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")
+    named = F.create_map(*[F.lit(v) for item in V.ZONE_HOURS.items() for v in item])
+    offset = F.when(zone.startswith("+"), minutes).when(zone.startswith("-"), -minutes)
+    offset = F.coalesce(offset, F.try_element_at(named, F.upper(zone)) * 60, F.lit(0))
+    return F.timestamp_micros(F.unix_micros(local) - offset.cast("long") * 60_000_000)
 
 
 def error_class(status_code: Column, error_kind: Column) -> Column:
@@ -37,8 +68,7 @@ def retry_after_seconds(headers: Column, now: Column) -> Column:
     """Seconds asked for by a Retry-After header, within 0 to 60; null if absent or unreadable."""
     named = F.map_filter(headers, lambda name, _: F.lower(name) == "retry-after")
     value = strip(F.get(F.map_values(named), F.lit(0)))
-    date = F.regexp_replace(value, "^[A-Za-z]+, *", "")
-    target = F.coalesce(*[F.try_to_timestamp(date, F.lit(fmt)) for fmt in _HTTP_DATES])
+    target = let(value, http_date)
     delta = (F.unix_micros(target) - F.unix_micros(now)) / F.lit(1e6)
     clamped = F.greatest(F.lit(0.0), F.least(delta, F.lit(V.RETRY_AFTER_MAX)))
     return F.when(
@@ -89,12 +119,17 @@ def attempts(log: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(classified: DataFrame, keys: Sequence[str] = ("site_id", "domain", "url")) -> DataFrame:
+def outcomes(classified: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """The final outcome of each fetch: its first attempt that stops, else the last one logged.
 
+    A fetch is known by `keys`, by default site, domain, URL and, in a log that has it, `run_id`: a log of
+    several runs has a fetch of the same page in each.
+
     `breaker_failure` is true for a surviving 429/5xx or an exhausted network failure, false for
     anything else, and null for a robots disallow, which says nothing about the domain's health.
     """
+    if keys is None:
+        keys = [c for c in ("site_id", "run_id", "domain", "url") if c != "run_id" or c in classified.columns]
     last = F.struct("ts", "seq", "status_code", "error_kind", "error_class", "attempt_no")
     stopped = F.min_by(last, F.when(F.col("stops"), F.col("attempt_no")))
     final = classified.groupBy(*keys).agg(

@@ -17,20 +17,26 @@ def effective_rps(rps: Column, respect_crawl_delay: Column, crawl_delay: Column)
     return F.when(respect_crawl_delay & (crawl_delay > 0), narrowed).otherwise(rps)
 
 
+def _tie(df: DataFrame) -> Column:
+    # orders rows that are equal otherwise by what is in them, so that a repeated task numbers them alike
+    return F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
 def plan_frontier(frontier: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Admission offset in seconds of each target, when all of a domain's targets wait at once.
 
     `frontier(domain, ordinal, rps, burst, ...)`: the first `burst` go at 0, then one per 1/rps.
-    The bucket of a domain is sized by its first target's settings. Positions are counted in slices
+    The bucket of a domain is sized by its first target's settings. Targets of one ordinal go in an order
+    that follows from their content alone. Positions are counted in slices
     of `ordinal`, so that a domain with most of the frontier is not numbered by one task.
     """
-    rows = frontier.withColumn("_chunk", F.floor(F.col("ordinal") / chunk_rows))
+    rows = frontier.withColumns({"_chunk": F.floor(F.col("ordinal") / chunk_rows), "_tie": _tie(frontier)})
     # spelled out so that both readers of the slices share one shuffle
     rows = rows.filter("domain is not null and _chunk is not null")
-    inside = Window.partitionBy("domain", "_chunk").orderBy("ordinal")
+    inside = Window.partitionBy("domain", "_chunk").orderBy("ordinal", "_tie")
     local = rows.withColumn("_pos", F.row_number().over(inside))
     chunks = local.groupBy("domain", "_chunk").agg(
-        F.max("_pos").alias("_n"), F.min_by(F.struct("rps", "burst"), "ordinal").alias("_cfg")
+        F.max("_pos").alias("_n"), F.min_by(F.struct("rps", "burst"), F.struct("ordinal", "_tie")).alias("_cfg")
     )
     across = Window.partitionBy("domain").orderBy("_chunk")
     carry = chunks.select(
@@ -56,10 +62,11 @@ def audit_admissions(requests: DataFrame, *, chunk_seconds: int = CHUNK_SECONDS)
     max(a_k, (k-1)T + max_{j<k}(a_j - (j-1)T) - (burst-1)T): a running maximum, taken inside
     time chunks and carried across them by one summary row per chunk.
     """
-    first = F.min_by(F.struct("rps", "burst", "ts"), F.struct("ts", "seq"))
-    buckets = requests.groupBy("domain").agg(first.alias("_bucket"))
+    first = F.min_by(F.struct("rps", "burst", "ts"), F.struct("ts", "seq", "_tie"))
+    tied = requests.withColumn("_tie", _tie(requests))
+    buckets = tied.groupBy("domain").agg(first.alias("_bucket"))
     rows = (
-        requests.join(buckets, "domain")
+        tied.join(buckets, "domain")
         .withColumn("_chunk", chunk_of(F.col("ts"), chunk_seconds))
         .withColumn("_gap", F.lit(1.0) / F.col("_bucket.rps"))
         # seconds since the domain's first request keep the sums exact enough
@@ -69,7 +76,7 @@ def audit_admissions(requests: DataFrame, *, chunk_seconds: int = CHUNK_SECONDS)
     )
     # spelled out so that both readers of the chunks share one shuffle
     rows = rows.filter("domain is not null and _chunk is not null")
-    inside = Window.partitionBy("domain", "_chunk").orderBy("ts", "seq")
+    inside = Window.partitionBy("domain", "_chunk").orderBy("ts", "seq", "_tie")
     local = rows.withColumn("_pos", F.row_number().over(inside)).withColumn(
         "_slack", F.col("_at") - (F.col("_pos") - 1) * F.col("_gap")
     )

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from gristmill import fixed_values as V
 from gristmill.operators import dedupe, quality
-from gristmill.operators.extract import extract_sites, page_errors_of, records_of, rejects_of
+from gristmill.operators.extract import EXTRACTORS, extract_sites, page_errors_of, records_of, rejects_of
 from gristmill.session import cut
 from gristmill.sources import seen, zones
+from gristmill.sources.registry import site_errors
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,11 @@ class RunTables:
     dimensions: DataFrame
     report: DataFrame
     summary: DataFrame
+    site_errors: DataFrame
+
+
+class SiteError(RuntimeError):
+    """Raised in fail-fast mode for a site that cannot be run."""
 
 
 def run_batch(
@@ -46,10 +52,15 @@ def run_batch(
     `batch` numbers this job; by default it is the next one, or that of an earlier job over the same
     runs, whose results a repeat replaces. Writes in this order: raw, staging, attributes, seen hashes, curated,
     quarantine, report, manifest, commit. Until the commit, readers of the zones see what was there
-    before. With `mark_before_gate` the hashes of a failed batch are marked too and stay out until
+    before. Sites and pages that cannot be processed are rows of `site_errors`, which is stored with the
+    reports; `fail_fast` raises on the first one, ahead of any write. With `mark_before_gate` the hashes of a failed batch are marked too and stay out until
     they expire.
     """
     profiles = quality.default_profiles(spark) if profiles is None else profiles
+    errors = cut(site_errors(pages, runs, registry, EXTRACTORS), "site-errors")
+    if fail_fast:
+        for row in errors.orderBy("site_id", "run_id").head(1):
+            raise SiteError(row.error)
     job = zones.claim(spark, runs, root, batch)
     zones.write_raw(pages, root)
     extracted = cut(extract_sites(pages, registry), "extracted")
@@ -84,8 +95,9 @@ def run_batch(
     zones.write_quarantine(rejects, runs, root, job.attempt)
     report = quality.report(dimensions)
     zones.write_report(report, root, job.attempt)
+    zones.write_site_errors(errors, root, job.attempt)
     summary = quality.run_summary(batches, gates, rejects, fetch_stats)
     zones.save_manifests(quality.manifest(summary, runs, F.current_timestamp()), root, job.batch)
     zones.commit(runs, root, job.attempt, staged=kept, curated=promoted, quarantined=rejects)
-    return RunTables(kept, rejects, page_errors, dimensions, report, summary)
+    return RunTables(kept, rejects, page_errors, dimensions, report, summary, errors)
 

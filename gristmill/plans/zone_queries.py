@@ -224,6 +224,33 @@ def site_run_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.select("domain", "source_url", "title", F.round("price", 6).alias("price"))
 
 
+@query(
+    """WITH pages AS (
+      SELECT 'shop_' || (p_partkey // 20) % 5 AS site_id, count(DISTINCT p_partkey // 20) AS n
+      FROM part GROUP BY 1)
+    SELECT site_id, 'r1' AS run_id, n AS pages,
+           CASE site_id WHEN 'shop_0' THEN 'site ''shop_0'' is not registered'
+             WHEN 'shop_1' THEN 'site ''shop_1'' is registered but disabled'
+             WHEN 'shop_2' THEN 'site ''shop_2'' has no extractor for forum'
+             ELSE 'site ''shop_3'' has pages without a run' END AS error
+    FROM pages WHERE site_id <> 'shop_4'
+    UNION ALL SELECT 'shop_9', 'r1', 0, 'site ''shop_9'' is not registered'"""
+)
+def site_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run could not process: sites that are unknown, disabled or unroutable, pages without a run."""
+    from gristmill.plans.site_run import run_batch
+
+    root = fresh_root(spark, "errors")
+    sites = shop_registry(spark, sf_dir).where("id <> 'shop_0'").withColumns({
+        "enabled": F.col("id") != "shop_1",
+        "module": F.when(F.col("id") == "shop_2", "forum").otherwise(F.col("module")),
+    })
+    runs = shop_runs(spark, sf_dir).where("site_id <> 'shop_3'")
+    runs = runs.unionByName(runs.where("site_id = 'shop_4'").withColumn("site_id", F.lit("shop_9")))
+    run_batch(spark, listing_pages(spark, sf_dir).drop("module"), runs, sites, root)
+    return zones.read_site_errors(spark, root)
+
+
 def _twice(spark: SparkSession, sf_dir: str, root: str, times: int = 1) -> None:
     """A run over a third of the pages, then one a day later over all of them, `times` times."""
     from gristmill.plans.site_run import run_batch

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,34 @@ def resolve_sites(requested: DataFrame, registry: DataFrame) -> DataFrame:
     return requested.join(registered, "site_id", "left").withColumn("error", error)
 
 
+def site_errors(pages: DataFrame, runs: DataFrame, registry: DataFrame, kinds: Iterable[str]) -> DataFrame:
+    """(site_id, run_id, pages, error) of every site and run that a job over `pages` and `runs` cannot process.
+
+    The site is not registered, is disabled, or its row names a page kind that is not among `kinds`; or there
+    are pages without a run, whose records would have no lineage. No row means that nothing is left
+    out. `pages` counts the pages concerned.
+    """
+    key = ["site_id", "run_id"]
+    counts = pages.groupBy(*key).agg(F.count("*").alias("pages"))
+    asked = runs.select(*key).distinct().withColumn("run", F.lit(True))
+    # a union and not an outer join, which would tell null ids apart
+    asked = asked.unionByName(counts, allowMissingColumns=True).groupBy(*key)
+    asked = asked.agg(F.max("run").alias("run"), F.max("pages").alias("pages"))
+    resolved = resolve_sites(asked, registry.select("id", "enabled", "module"))
+    quoted = F.concat(F.lit("site '"), F.col("site_id"), F.lit("' "))
+    error = F.coalesce(
+        F.when(F.col("site_id").isNull(), "page without a site"),
+        "error",
+        F.when(
+            ~F.coalesce(F.col("module").isin(*kinds), F.lit(False)),
+            F.concat(quoted, F.lit("has no extractor for "), F.coalesce("module", F.lit("null"))),
+        ),
+        F.when(F.col("run").isNull(), F.concat(quoted, F.lit("has pages without a run"))),
+    )
+    rows = resolved.select(*key, F.coalesce("pages", F.lit(0)).alias("pages"), error.alias("error"))
+    return rows.where(F.col("error").isNotNull())
+
+
 _REQUIRED = (
     "id",
     "module",

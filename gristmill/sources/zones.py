@@ -152,12 +152,17 @@ def committed(spark: SparkSession, root: str) -> DataFrame:
 def inventory(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """Objects whose key (path below `root`) starts with `prefix`: key, size and change time.
 
-    Only the file listing is read, never the contents.
+    Only the file listing is read, never the contents, and only that of the folder the prefix names.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    )
     base = root.rstrip("/") + "/"
+    # up to the first character that a path pattern would read otherwise
+    folder = re.split(r"[][{}*?^\\]", prefix)[0].rpartition("/")[0]
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base + folder)
+    except AnalysisException as error:
+        if not folder or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], RAW_FILES)
     # a listing shows the full URI; the key is what follows the root folder
     key = F.element_at(F.split("path", r"\Q" + base + r"\E", 2), -1)
     return files.select(key.alias("key"), "length", "modificationTime").filter(
@@ -307,6 +312,21 @@ def write_report(reports: DataFrame, root: str, attempt: int = 0) -> None:
     _replace(rows, f"{root}/reports", "run", "attempt")
 
 
+SITE_ERRORS = "site_id string, run_id string, pages bigint, error string, attempt bigint"
+
+
+def write_site_errors(errors: DataFrame, root: str, attempt: int = 0) -> None:
+    """What a job could not process, and why."""
+    _replace(_attempted(errors, attempt), f"{root}/site_errors", "attempt")
+
+
+def read_site_errors(spark: SparkSession, root: str) -> DataFrame:
+    """Site errors of the newest attempt of each job, which its claims tell."""
+    claims = _read(spark, f"{root}/state/claims", CLAIMS)
+    newest = claims.groupBy("batch").agg(F.max("attempt").alias("attempt")).select("attempt")
+    return _read(spark, f"{root}/site_errors", SITE_ERRORS).join(newest, "attempt", "left_semi").drop("attempt")
+
+
 def latest_reports(reports: DataFrame) -> DataFrame:
     """The newest report of each site."""
     return first_per_key(reports, ["site_id"], [F.desc("generated_at"), F.desc("run_id")])

@@ -14,10 +14,11 @@ from pyspark.sql.streaming.query import StreamingQuery
 from gristmill import fixed_values as V
 from gristmill.operators import dedupe
 from gristmill.operators.breaker import breaker_timeline
-from gristmill.operators.extract import extract_sites, page_errors_of, records_of, rejects_of
+from gristmill.operators.extract import EXTRACTORS, extract_sites, page_errors_of, records_of, rejects_of
 from gristmill.plans.site_run import run_batch
 from gristmill.session import cut
 from gristmill.sources import seen, zones
+from gristmill.sources.registry import site_errors
 
 
 def _start(
@@ -30,13 +31,17 @@ def _start(
 def parse_stream(
     pages: DataFrame, runs: DataFrame, registry: DataFrame, root: str, checkpoint: str, *, trigger=None
 ) -> StreamingQuery:
-    """Parse arriving raw pages into `records`, `rejects` and `page_errors` under `root`."""
+    """Parse arriving raw pages into `records`, `rejects`, `page_errors` and `site_errors` under `root`.
+
+    Pages of a site or run that is not known yet are counted in `site_errors`, not dropped unseen."""
 
     def step(arrived: DataFrame, batch: int) -> None:
         extracted = cut(extract_sites(arrived, registry), "stream-extracted")
         zones.append_state(records_of(extracted, runs), f"{root}/records", batch)
         zones.append_state(rejects_of(extracted), f"{root}/rejects", batch)
         zones.append_state(page_errors_of(extracted), f"{root}/page_errors", batch)
+        unknown = site_errors(arrived, runs, registry, EXTRACTORS).where("pages > 0")
+        zones.append_state(unknown, f"{root}/site_errors", batch)
 
     return _start(pages, step, checkpoint, trigger)
 

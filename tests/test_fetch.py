@@ -43,6 +43,11 @@ def test_error_classes(spark):
         ("Thursday, 01-Jan-26 00:00:31 GMT", 30.0),
         ("1 Jan 2026 00:00:31", 30.0),
         ("Wed, 31 Dec 2025 00:00:00 GMT", 0.0),
+        ("Thu Jan  1 00:00:31 2026", 30.0), ("Thu, 01 Jan 2026 00:01 GMT", 59.0),
+        ("Thu, 01 Jan 2026 00:00:31 UT", 30.0), ("Wed, 31 Dec 2025 19:00:31 EST", 30.0),
+        ("Thu, 01 Jan 2026 01:30:31 +0130", 30.0), ("Thu, 01 Jan 2026 00:00:31 XYZ", 30.0),
+        ("Thursday, 01-Jan-94 00:00:31 GMT", 0.0), ("32 Jan 2026 00:00:31", None),
+        ("1 Foo 2026 00:00:31", None), ("1 Jan 2026 24:00:31", None), ("1 Jan 2026 00:00:60", None),
         ("Fri, 02 Jan 2026 00:00:00 GMT", 60.0),
     ],
 )
@@ -52,6 +57,14 @@ def test_retry_after(spark, value, seconds):
     assert out[0].retry_after == seconds and out[1].retry_after is None
 
 
+def test_outcomes_tell_runs_apart(spark):
+    rows = [("u", 1, 503, None, None), ("u", 1, 200, None, None)]
+    two = log(spark, rows).withColumn("run_id", F.col("status_code").cast("string"))
+    out = fetchlog.outcomes(fetchlog.attempts(two))
+    assert sorted((r.status_code, r.logged_attempts) for r in out.collect()) == [(200, 1), (503, 1)]
+    assert fetchlog.outcomes(fetchlog.attempts(two.drop("run_id"))).count() == 1
+
+
 def test_wait_bounds(spark):
     rows = [("u", n, None, "fetch_error", None) for n in (1, 3, 5)]
     rows += [("v", n, 503, None, None) for n in (1, 6)] + [("w", n, 429, None, None) for n in (2, 9)]

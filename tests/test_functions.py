@@ -1,6 +1,7 @@
 """Scalar functions, and the traps around Unicode, prices, hashes and dates."""
 
 import datetime
+import re
 import unicodedata
 from decimal import Decimal
 from urllib.parse import quote, unquote, urljoin
@@ -166,3 +167,11 @@ def test_empty_page_range_has_no_targets(spark):
 
     rows = [("s", "http://a/{page}", 1, 0, None), ("t", "http://a/{page}", 1, 2, None)]
     assert paged_targets(spark.createDataFrame(rows, PAGED)).count() == 2
+
+
+def test_citation_markers_are_letters_numbers_and_underscores(spark):
+    texts = ["a[1]b", "a[ x_2 ]b", "a[\x1c½²]b", "a[é]b", "a[‿]b", "a[]b", "a[1 2]b", "a[注釈]b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.c for r in df.orderBy("i").select(M.clean_article_text(F.col("t")).alias("c")).collect()]
+    want = [re.sub(r"\[\s*\w+\s*\]", "", t) for t in texts]
+    assert got == want

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gristmill import schemas
 from gristmill.operators import quality
 from gristmill.operators.extract import PageError
-from gristmill.plans.site_run import run_batch
+from gristmill.plans.site_run import SiteError, run_batch
 from gristmill.sources import registry, zones
 
 import pytest
@@ -250,3 +250,36 @@ def test_registry_validation(spark):
         ["missing id", "missing enabled", "missing dq_profile", "missing rate_limit.rps"],
         ["missing rate_limit"],
     ]
+
+
+def test_inventory_lists_the_folder_of_its_prefix(spark, tmp_path):
+    for key in ("raw/site=a/x", "raw/site=ab/y", "raw/site=a/deep/z", "curated/q", "raw/s{1}/w"):
+        (tmp_path / key).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / key).write_text("1")
+
+    def keys(prefix):
+        return sorted(r.key for r in zones.inventory(spark, str(tmp_path), prefix).collect())
+
+    assert keys("raw/site=a") == ["raw/site=a/deep/z", "raw/site=a/x", "raw/site=ab/y"]
+    assert keys("raw/site=a/") == ["raw/site=a/deep/z", "raw/site=a/x"]
+    assert keys("raw/site=a/d") == ["raw/site=a/deep/z"]
+    assert keys("raw/s{1}/") == ["raw/s{1}/w"] and keys("nothing/here") == [] and len(keys("")) == 5
+    listed = zones.inventory(spark, str(tmp_path), "raw/site=ab/")
+    assert [f.rsplit("/", 1)[1] for f in listed.inputFiles()] == ["y"]
+
+
+def test_sites_that_cannot_run_are_reported(spark, tmp_path):
+    root = str(tmp_path)
+    sites = registry.default_registry(spark)
+    pages = listing(spark, "r1", T0, article(1)).unionByName(listing(spark, "r1", T0, article(2), site="nowhere"))
+    pages = pages.unionByName(listing(spark, None, T0, article(3), site=None))
+    job = runs(spark, ("r1", "books_sandbox", T0), ("r1", "nowhere", T0))
+    out = run_batch(spark, pages, job, sites, root)
+    got = {(r.site_id, r.run_id, r.pages, r.error) for r in out.site_errors.collect()}
+    assert got == {("nowhere", "r1", 1, "site 'nowhere' is not registered"), (None, None, 1, "page without a site")}
+    assert zones.read_site_errors(spark, root).count() == 2
+    run_batch(spark, listing(spark, "r1", T0, article(1)), job.where("site_id = 'books_sandbox'"), sites, root)
+    assert zones.read_site_errors(spark, root).count() == 0  # the repeat had none
+    with pytest.raises(SiteError, match="not registered"):
+        run_batch(spark, pages.where("site_id is not null"), job, sites, str(tmp_path / "strict"), fail_fast=True)
+    assert not (tmp_path / "strict").exists()
