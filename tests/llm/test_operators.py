@@ -9,6 +9,7 @@ import struct
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from gristmill.llm import bpe, chat, decontam, minhash, quality_rules, secrets, shard, substrings, toxicity, warc
 
@@ -209,6 +210,51 @@ def test_tool_calls(spark):
     assert chat.link(calls.limit(0), results, schemas).count() == 0
 
 
+def test_tool_calls_with_odd_arguments_and_results(spark):
+    deep = '{"x":' + "[" * 100_000 + "]" * 100_000 + "}"
+    arguments = {
+        "deep": deep, "alone": '{"x":"\\ud800"}', "name": '{"\\udfff":1}', "nan": '{"x":NaN}', "inf": '{"x":-Infinity}',
+        "wide": '{"x":1e999}', "long": '{"x":' + "9" * 5000 + "}", "pair": '{"x":"\\ud83d\\ude00"}', "none": None,
+    }
+    calls = spark.createDataFrame(
+        [(1, 5, k, "t", a, None, "extra", 7) for k, a in arguments.items()],
+        "conv_id long, turn long, call_id string, tool string, arguments string, after string, json string, linked int",
+    )
+    results = spark.createDataFrame(
+        [(1, 2, "pair", "early"), (1, 9, "pair", "second"), (1, 8, "pair", "b"), (1, 8, "pair", "a"), (1, 5, "pair", "same"),
+         (1, None, "pair", "nowhere"), (1, 6, "none", None), (1, 1, "alone", "early"), (None, 9, "pair", "other"), (2, 9, "pair", "z")],
+        "conv_id long, turn long, call_id string, content string",
+    ).withColumn("fault", F.lit("extra"))
+    schemas = {"t": {"properties": {"x": {}}}}
+    got = {r.call_id: r for r in chat.link(calls, results, schemas).collect()}
+    assert {k: r.fault for k, r in got.items()} == {
+        "deep": "nested too deep", "alone": None, "name": "unexpected \\udfff", "nan": "not JSON", "inf": "not JSON",
+        "wide": "not JSON", "long": "not JSON", "pair": None, "none": "not JSON",
+    }
+    # whatever is serialised can be read again, strictly
+    values = {k: json.loads(r.json, parse_constant=lambda c: pytest.fail(c)) for k, r in got.items()}
+    assert values["alone"]["arguments"] == {"x": "\ud800"} and values["pair"]["arguments"] == {"x": "\U0001f600"}
+    assert values["deep"]["arguments"] is None and values["name"]["arguments"] == {"\udfff": 1}
+    # the first result after the call, whatever stands before it
+    assert (got["pair"].linked, values["pair"]["result"], got["pair"].n_results) == (True, "a", 6)
+    assert (got["none"].linked, values["none"]["result"], got["none"].n_results) == (True, None, 1)
+    assert (got["alone"].linked, values["alone"]["result"], got["alone"].n_results) == (False, None, 1)
+    assert got["nan"].n_results == 0 and not got["nan"].linked
+    # only results, no calls; and the other way round
+    assert chat.link(calls.limit(0), results, schemas).count() == 0
+    assert chat.link(calls, results.limit(0), schemas).count() == len(arguments)
+
+
+def test_substrings_of_extreme_and_missing_ids(spark):
+    text = "the same fifty bytes and a few more than these, to be sure of it"
+    last = 2**63 - 1
+    rows = [(last, "x" + text), (None, text + "y"), (5, text), (None, None), (None, "")]
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed) for r in out), key=str)
+    n = len(text)
+    assert got == sorted([(5, n, 0), (last, n + 1, n), (None, n + 1, n), (None, 0, 0), (None, 0, 0)], key=str)
+
+
 def test_quality_and_shards_keep_every_row(docs, none):
     got = quality_rules.judge(docs).collect()
     assert ids(got) == EVERY and not any(r.kept for r in got if r.n_words < 50)
