@@ -100,11 +100,13 @@ def _bytes(value: pa.Scalar) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    t = F.coalesce(F.col(text), F.lit(""))
+    t, own = F.coalesce(F.col(text), F.lit("")), F.col(id_col).cast("long")
+    whole = F.xxhash64(t)
     return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
-        # tells the rows of one id apart
-        F.xxhash64(t).bitwiseAND(F.lit(0xFFFFFFFF)).cast("long").alias("print"),
+        own.alias("id"),
+        F.coalesce(own, F.lit(LAST)).alias("doc"),
+        # tells the rows of one id apart; without an id there may be very many
+        F.when(own.isNull(), whole).otherwise(whole.bitwiseAND(F.lit(0xFFFFFFFF)).cast("long")).alias("print"),
         t.alias("text"),
     )
 
@@ -185,7 +187,7 @@ def remove_repeats(
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, value, found in zip(*(batch.column(c) for c in ("doc", "text", "runs"))):
+            for doc, value, found in zip(*(batch.column(c) for c in ("id", "text", "runs"))):
                 raw = _bytes(value)
                 change = np.zeros(len(raw) + 1, dtype=np.int32)
                 if found.is_valid and len(found):
@@ -195,13 +197,12 @@ def remove_repeats(
                 gone = np.cumsum(change[:-1]) > 0
                 spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (gone[:1].sum()))
                 left = raw[~gone].tobytes()
-                key = None if doc.as_py() == LAST else doc.as_py()
-                row = [key, len(raw), int(gone.sum()), spans, hashlib.sha256(left).hexdigest()]
+                row = [doc.as_py(), len(raw), int(gone.sum()), spans, hashlib.sha256(left).hexdigest()]
                 out.append(row + [left] * with_kept)
             kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_kept
             names = schema.replace(",", "").split()[::2] + ["kept"] * with_kept
             columns = list(zip(*out, strict=True)) or [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    joined = rows.join(runs, ["doc", "print"], "left").select("doc", "text", "runs")
+    joined = rows.join(runs, ["doc", "print"], "left").select("id", "text", "runs")
     return joined.mapInArrow(apply, schema + (", kept binary" if with_kept else ""))
