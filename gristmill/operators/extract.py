@@ -75,6 +75,24 @@ ARTICLE = Spec(
     ),
 )
 
+# Rows of a batch of pages go out in parts, once so many characters were read or rows found.
+PART_CHARS = 1 << 20
+PART_ROWS = 1000
+
+
+def _found_rows(
+    carried: pa.RecordBatch, rows: list, ordinals: list, found: list, fragments: list
+) -> pa.RecordBatch:
+    taken = carried.take(pa.array(rows, pa.int32()))
+    return pa.RecordBatch.from_arrays(
+        taken.columns
+        + [
+            pa.array(ordinals, pa.int32()),
+            pa.array(found, pa.map_(pa.string(), pa.list_(pa.string()))),
+            pa.array(fragments, pa.string()),
+        ],
+        names=carried.schema.names + ["element_ord", "found", "fragment"],
+    )
 
 
 def harvest(
@@ -111,11 +129,15 @@ def harvest(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         harvesters = {name: Harvester(one) for name, one in specs.items()}
         for batch in batches:
-            rows, ordinals, found, fragments = [], [], [], []
-            columns = (batch.column(name).to_pylist() for name in ("_url", "_body", "_spec"))
-            for row, (url, html, name) in enumerate(zip(*columns)):
+            # the bodies stay out of what is taken once per container
+            carried = batch.select(kept)
+            columns = [batch.column(name) for name in ("_url", "_body", "_spec")]
+            rows, ordinals, found, fragments, size = [], [], [], [], 0
+            for row in range(batch.num_rows):
+                name = columns[2][row].as_py()
                 if name not in harvesters:
                     continue
+                url, html = columns[0][row].as_py(), columns[1][row].as_py()
                 if isinstance(html, bytes):
                     html = html.decode("utf-8", "replace")
                 boxes = harvesters[name].harvest(html or "", url or "")
@@ -124,21 +146,18 @@ def harvest(
                     ordinals.append(ordinal)
                     found.append(list(values.items()))
                     fragments.append(fragment)
+                    size += len(fragment)
                 if not boxes:
                     rows.append(row)
                     ordinals.append(None)
                     found.append([])
                     fragments.append(None)
-            carried = batch.take(pa.array(rows, pa.int32())).select(kept)
-            yield pa.RecordBatch.from_arrays(
-                carried.columns
-                + [
-                    pa.array(ordinals, pa.int32()),
-                    pa.array(found, pa.map_(pa.string(), pa.list_(pa.string()))),
-                    pa.array(fragments, pa.string()),
-                ],
-                names=kept + ["element_ord", "found", "fragment"],
-            )
+                size += len(html or "")
+                if size >= PART_CHARS or len(rows) >= PART_ROWS:
+                    yield _found_rows(carried, rows, ordinals, found, fragments)
+                    rows, ordinals, found, fragments, size = [], [], [], [], 0
+            if rows:
+                yield _found_rows(carried, rows, ordinals, found, fragments)
 
     return spread(source).mapInArrow(run, schema)
 

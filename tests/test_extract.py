@@ -4,6 +4,7 @@ import datetime
 import json
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,3 +247,31 @@ def test_golden_hash(spark, title, price, url, record, content):
     body = GOOD.replace("A &amp; B", title).replace("51.77", price)
     (row,) = parse(spark, ("books_sandbox", 200, body))
     assert row.content_hash == content
+
+
+def test_many_pages_of_one_batch_go_out_in_parts(spark, monkeypatch):
+    """Neither the rows found nor the bodies they came from pile up in a task's Python."""
+
+    class Caught:
+        def mapInArrow(self, run, schema):
+            return run
+
+    n = 400
+    monkeypatch.setattr(X, "spread", lambda source: Caught())
+    run = X.harvest(pages(spark, *[("s", 200, GOOD)]), X.PRODUCT_LISTING, keep=("page_ord",))
+    filler = "x" * 2000
+    batch = pa.RecordBatch.from_pydict({
+        "page_ord": pa.array(range(n), pa.int32()),
+        "_url": [f"https://x.example/c/{k}.html" for k in range(n)],
+        "_body": [f"<p>{filler}</p>".encode() + (GOOD * (k % 20)).encode() for k in range(n)],
+        "_spec": [X.PRODUCT_LISTING.name] * n,
+    })
+    parts, most, before = [], 0, pa.total_allocated_bytes()
+    for part in run(iter([batch])):
+        parts.append((part.num_rows, list(zip(*(part.column(c).to_pylist() for c in ("page_ord", "element_ord"))))))
+        most = max(most, part.num_rows)
+        del part
+    assert most < X.PART_ROWS + 20
+    want = [(k, e) for k in range(n) for e in (range(k % 20) if k % 20 else [None])]
+    assert [row for _, rows in parts for row in rows] == want
+    assert pa.total_allocated_bytes() - before < 4 << 20
