@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +24,9 @@ MICROS_PER_DAY = 86_400_000_000
 # into slices of about as many times each.
 FOLD_LIMIT = 10_000
 
+# Rows of lists are folded in parts of about so many times, since each time gets its hash beside it.
+PART_TIMES = 100_000
+
 
 def first_per_key(records: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order.
@@ -143,24 +145,59 @@ def _fold_chains(times: DataFrame, free: DataFrame | None, ttl: int) -> DataFram
         chains = chains.join(free, HASH, "left")
     else:
         chains = chains.withColumn("free_at", F.lit(None).cast("long"))
+    return _folded(chains, ttl)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with about `PART_TIMES` times in their lists, or one longer list."""
+    for batch in batches:
+        ends, start = batch.column("ats").offsets.to_numpy(), 0
+        while start < batch.num_rows:
+            stop = int(np.searchsorted(ends, int(ends[start]) + PART_TIMES, "right")) - 1
+            stop = min(max(stop, start + 1), batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def _lists(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The sorted times `ats` of each row."""
+    lists = batch.column("ats")
+    values, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    for k in range(batch.num_rows):
+        yield values[ends[k] : ends[k + 1]]
+
+
+def _each(hashes: pa.Array, lists: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    """The values of one list per hash, with their hash beside each."""
+    every = np.concatenate(lists) if lists else np.zeros(0, dtype=np.int64)
+    of = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]), pa.int64())
+    return hashes.take(of), pa.array(every, pa.int64())
+
+
+def _folded(chains: DataFrame, ttl: int) -> DataFrame:
+    """(hash, _at) of the chain in each row's sorted `ats`, from the first time at or after `free_at` on."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists, free_at = batch.column("ats"), batch.column("free_at").to_pylist()
-            values, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        for batch in _parts(batches):
             kept = []
-            for k, bound in enumerate(free_at):
-                ats = values[ends[k] : ends[k + 1]]
+            for ats, bound in zip(_lists(batch), batch.column("free_at").to_pylist(), strict=True):
                 start = 0 if bound is None else int(np.searchsorted(ats, bound))
                 kept.append(_greedy(ats, start, ttl))
-            sizes = [len(x) for x in kept]
-            hashes = batch.column(HASH).take(pa.array(np.repeat(np.arange(len(kept)), sizes)))
-            every = np.concatenate(kept) if kept else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([hashes, pa.array(every, pa.int64())], names=[HASH, "_at"])
+            yield pa.RecordBatch.from_arrays([*_each(batch.column(HASH), kept)], names=[HASH, "_at"])
 
     return chains.mapInArrow(fold, f"{HASH} string, _at bigint")
 
 
+def _exits(ats: np.ndarray, ttl: int) -> np.ndarray:
+    """For each of ascending `ats`, where a chain through it leaves them: the expiry of its last time."""
+    after = np.searchsorted(ats, ats + ttl).tolist()
+    bound = (ats + ttl).tolist()
+    for k in range(len(bound) - 1, -1, -1):
+        if after[k] < len(bound):
+            bound[k] = bound[after[k]]
+    return np.array(bound, dtype=np.int64)
+
+
 def _link_chains(times: DataFrame, free: DataFrame | None, ttl: int, slice_rows: int) -> DataFrame:
     """Chains of hashes with very many times, by slices of time and pointer doubling.
 
@@ -178,21 +215,21 @@ def _link_chains(times: DataFrame, free: DataFrame | None, ttl: int, slice_rows:
     spans = cut(spans.select(HASH, "lo", width.alias("width")), "chain-spans")
     spans = broadcast_if_small(spans)
 
+    # a row per slice, as slices may be very many and small
     sliced = times.join(spans, HASH).withColumn("slice", F.expr("(_at - lo) div width"))
-    sliced = cut(sliced.select(HASH, "slice", "_at"), "chain-times")
-
-    def leave(rows: pd.DataFrame) -> pd.DataFrame:
-        ats = np.sort(rows["_at"].to_numpy())
-        after = np.searchsorted(ats, ats + ttl).tolist()
-        bound = (ats + ttl).tolist()
-        for k in range(len(ats) - 1, -1, -1):
-            if after[k] < len(ats):
-                bound[k] = bound[after[k]]
-        return pd.DataFrame({HASH: rows[HASH].iloc[0], "_at": ats, "bound": bound})
-
-    left = sliced.groupBy(HASH, "slice").applyInPandas(leave, f"{HASH} string, _at bigint, bound bigint")
+    sliced = sliced.groupBy(HASH, "slice").agg(F.sort_array(F.collect_list("_at")).alias("ats"))
+    sliced = cut(sliced, "chain-times")
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            lists = list(_lists(batch))
+            hashes, ats = _each(batch.column(HASH), lists)
+            bounds = _each(batch.column(HASH), [_exits(one, ttl) for one in lists])[1]
+            yield pa.RecordBatch.from_arrays([hashes, ats, bounds], names=[HASH, "_at", "bound"])
+
+    left = sliced.mapInArrow(leave, f"{HASH} string, _at bigint, bound bigint")
     left = cut(left, "chain-exits")
-    starts = sliced.groupBy(HASH).agg(F.min("_at").alias("bound"))
+    starts = sliced.groupBy(HASH).agg(F.min(F.get("ats", F.lit(0))).alias("bound"))
     if free is not None:
         known = starts.join(free, HASH, "left")
         starts = known.select(HASH, F.greatest("bound", "free_at").alias("bound"))
@@ -209,16 +246,11 @@ def _link_chains(times: DataFrame, free: DataFrame | None, ttl: int, slice_rows:
         onward = links.select(HASH, F.col("_at").alias("next"), F.col("next").alias("beyond"))
         links = cut(links.join(onward, [HASH, "next"]).select(HASH, "_at", F.col("beyond").alias("next")), "chain-links")
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        ats = np.sort(rows["_at"].to_numpy())
-        start = int(np.searchsorted(ats, rows["entry"].iloc[0]))
-        return pd.DataFrame({HASH: rows[HASH].iloc[0], "_at": _greedy(ats, start, ttl)})
-
     entries = reached.join(spans, HASH).select(
-        HASH, F.expr("(_at - lo) div width").alias("slice"), F.col("_at").alias("entry")
+        HASH, F.expr("(_at - lo) div width").alias("slice"), F.col("_at").alias("free_at")
     )
-    entered = sliced.join(entries, [HASH, "slice"])
-    return entered.groupBy(HASH, "slice").applyInPandas(fold, f"{HASH} string, _at bigint")
+    # a chain enters a slice once
+    return _folded(sliced.join(entries, [HASH, "slice"]), ttl)
 
 
 def _first_at_or_after(bounds: DataFrame, sliced: DataFrame, spans: DataFrame) -> DataFrame:
@@ -226,7 +258,7 @@ def _first_at_or_after(bounds: DataFrame, sliced: DataFrame, spans: DataFrame) -
     one: in the bound's own slice, or else the first time of the next slice that has any."""
     placed = bounds.join(spans, HASH).select(HASH, F.expr("(bound - lo) div width").alias("slice"), "bound")
     both = placed.withColumn("_at", F.lit(None).cast("long")).unionByName(
-        sliced.withColumn("bound", F.lit(None).cast("long"))
+        sliced.select(HASH, "slice", F.explode("ats").alias("_at")).withColumn("bound", F.lit(None).cast("long"))
     )
     place = F.coalesce("bound", "_at")
     # from the last time backwards, as frames that only grow take one pass
@@ -234,7 +266,7 @@ def _first_at_or_after(bounds: DataFrame, sliced: DataFrame, spans: DataFrame) -
     onward = onward.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     inside = both.withColumn("target", F.min("_at").over(onward)).where("bound IS NOT NULL")
 
-    firsts = sliced.groupBy(HASH, "slice").agg(F.min("_at").alias("first"))
+    firsts = sliced.select(HASH, "slice", F.get("ats", F.lit(0)).alias("first"))
     asked = placed.select(HASH, "slice").distinct().withColumn("first", F.lit(None).cast("long"))
     behind = Window.partitionBy(HASH).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
     later = asked.unionByName(firsts).groupBy(HASH, "slice").agg(F.max("first").alias("first"))

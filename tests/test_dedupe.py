@@ -3,6 +3,8 @@
 import datetime
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +154,19 @@ def test_crowded_slices_and_lookups_over_gaps(spark):
         one = dedupe.dedupe_history(df, ttl_days=days, fold_limit=5)
         other = dedupe.dedupe_history(df, ttl_days=days, fold_limit=10**6)
         assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
+def test_many_small_slices_take_no_python_call_each(spark):
+    """Slices are folded as lists, many to a batch, and no batch of them gives out very many rows at once."""
+    rows = [(h, T0 + k * DAY, 0, 0) for h in "abc" for k in range(40)]
+    df = spark.createDataFrame(rows, "content_hash string, started_at timestamp, page_ord int, element_ord int")
+    kept = dedupe.dedupe_history(df, ttl_days=2, fold_limit=5)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "MapInArrow" in plan
+    assert kept.count() == 60
+
+    sizes = [7, 0, 60_000, 30_000, 20_000, 250_000, 1, 1]
+    lists = [np.arange(n) for n in sizes]
+    batch = pa.RecordBatch.from_pydict({"ats": pa.array(lists, pa.list_(pa.int64()))}).slice(1)
+    got = [[len(x) for x in dedupe._lists(part)] for part in dedupe._parts(iter([batch, batch.slice(0, 0)]))]
+    assert got == [[0, 60_000, 30_000], [20_000], [250_000], [1, 1]]
