@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -29,10 +30,19 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-@F.pandas_udf(StringType())
-def nfkc_strip(text: pd.Series) -> pd.Series:
+# Texts that are Python strings at a time, of the many in an Arrow batch.
+PART_TEXTS = 64
+
+
+@F.arrow_udf(StringType())
+def nfkc_strip(text: pa.Array) -> pa.Array:
     """NFKC form, stripped. Spark has no normalization function, hence Arrow batches."""
-    return text.str.normalize("NFKC").str.strip()
+    done = []
+    for at in range(0, len(text), PART_TEXTS):
+        part = text.slice(at, PART_TEXTS).to_pylist()
+        part = [t if t is None else unicodedata.normalize("NFKC", t).strip() for t in part]
+        done.append(pa.array(part, text.type))
+    return pa.concat_arrays(done) if done else text
 
 
 def clean_article_text(c: Column) -> Column:

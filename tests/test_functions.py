@@ -6,6 +6,7 @@ import unicodedata
 from decimal import Decimal
 from urllib.parse import quote, unquote, urljoin
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,20 @@ def test_nfkc_strip(spark):
     assert column(spark, raw, M.nfkc_strip) == expected
 
 
+def test_nfkc_strip_holds_few_texts_as_strings():
+    import tracemalloc
+
+    function = M.nfkc_strip.func
+    text = "ﬁ " + "x\u4e00" * 2000
+    whole = pa.array([text, None] * 2000)
+    tracemalloc.start()
+    got = function(whole)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist()[-2:] == [unicodedata.normalize("NFKC", text), None] and len(got) == 4000
+    assert most < 4 << 20
+
+
 def test_article_clean_up(spark):
     raw = [
         "Rust [ 38 ] is , a language [é1]\n\t.  End ;",
