@@ -70,10 +70,8 @@ class Breaker(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         known = self.place.get() if self.place.exists() else (0, 0, 0, 0, False)
         streak, at, seq, due, seen = known
-        timer, late, out = due, 0, []
-        runs = [r for part in rows for r in zip(part["failed"], part["ats"], part["seqs"], strict=True)]
-        for failed, ats, seqs in sorted(runs, key=lambda r: (r[1][0], r[2][0])):
-            ats, seqs = np.asarray(ats), np.asarray(seqs)
+        timer, late, out, held = due, 0, [], 0
+        for failed, ats, seqs in _in_order(rows):
             if seen:
                 fresh = (ats > at) | ((ats == at) & (seqs > seq))
                 late += int(len(fresh) - fresh.sum())
@@ -96,6 +94,10 @@ class Breaker(StatefulProcessor):
                 streak = 0
             at, seq, seen = int(ats[-1]), int(seqs[-1]), True
             due = at + self.reset if streak >= self.fail_max else 0
+            held += len(ats)
+            if held >= RUN_ROWS:
+                yield _frame(out)
+                out, held = [], 0
         if timer != due:
             if timer:
                 self.handle.deleteTimer(_millis(timer))
@@ -121,6 +123,25 @@ class Breaker(StatefulProcessor):
         pass
 
 
+def _in_order(parts: Iterator[pd.DataFrame]) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
+    """A domain's runs by time and place. Of all its rows only two numbers each are held."""
+    failed, sizes, ats, seqs = [], [], [], []
+    for part in parts:
+        if len(part):
+            failed.append(part["failed"].to_numpy(dtype=bool))
+            sizes.append(np.array([len(x) for x in part["ats"]], dtype=np.int64))
+            for whole, column in ((ats, "ats"), (seqs, "seqs")):
+                whole.append(np.concatenate([np.asarray(x, dtype=np.int64) for x in part[column]]))
+    if not sizes:
+        return
+    failed, sizes, ats, seqs = (np.concatenate(x) for x in (failed, sizes, ats, seqs))
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    for k in np.lexsort((seqs[starts], ats[starts])):
+        run = slice(starts[k], ends[k])
+        yield failed[k], ats[run], seqs[run]
+
+
 def _millis(micros: int) -> int:
     return -(-micros // 1000)
 

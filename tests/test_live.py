@@ -3,6 +3,8 @@
 import datetime
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from gristmill.operators import breaker
 from gristmill.streaming import live
@@ -78,3 +80,32 @@ def test_a_step_keeps_the_sessions_settings(spark, tmp_path):
     before = spark.conf.get(live.PROVIDER, None)
     run(spark, tmp_path, [("a", T0, 1, True)])
     assert spark.conf.get(live.PROVIDER, None) == before
+
+
+def test_a_domain_goes_out_in_parts():
+    """Of a domain's rows in a micro-batch neither all runs nor all events are Python objects at once."""
+
+    class Place:
+        def exists(self):
+            return False
+
+        def update(self, state):
+            self.state = state
+
+    class Handle:
+        def registerTimer(self, at):
+            self.timer = at
+
+    place, handle = Place(), Handle()
+    one = live.Breaker(3, 60_000_000)
+    one.place, one.handle = place, handle
+    n = 50_000
+    ats = np.arange(n).reshape(-1, 2) * 1_000_000
+    order = np.random.default_rng(3).permutation(len(ats))
+    rows = pd.DataFrame({"failed": order % 2 == 0, "ats": list(ats[order]), "seqs": list(ats[order])})
+    out = list(one.handleInputRows(("a",), iter([rows[:9000], rows[9000:9000], rows[9000:]]), None))
+    assert len(out) >= 4 and max(len(part) for part in out) <= live.RUN_ROWS
+    told = pd.concat(out)
+    assert [x for run in told["ats"] for x in run] == ats.ravel().tolist()
+    assert told["failed"].tolist() == [k % 2 == 0 for k in range(len(ats))]
+    assert place.state == (0, ats[-1, 1], ats[-1, 1], 0, True)
