@@ -7,24 +7,10 @@ import sys
 import types
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bounds of one Arrow batch on its way to Python, whatever the length of the texts in it.
-BATCH_ROWS = 1000
-BATCH_BYTES = 8 << 20
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by rows and bytes, unless the session already has tighter bounds."""
-    for key, bound in (
-        ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
-        ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
-    ):
-        now = spark.conf.get(key, None)
-        number = int(now) if now and now.lstrip("-").isdigit() else 0
-        if not 0 < number <= bound:
-            spark.conf.set(key, str(bound))
+from gristmill.session import bounded_batches as bounded_batches
 
 
 def spread(df: DataFrame) -> DataFrame:

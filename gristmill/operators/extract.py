@@ -34,7 +34,7 @@ from gristmill.functions import (
 from gristmill.functions.money import PRICE_TYPE
 from gristmill.operators.markup import Harvester, Rule, Spec
 from gristmill.schemas import RECORD_COLUMNS
-from gristmill.session import spread
+from gristmill.session import bounded_batches, spread
 
 # ---- fixed values: page kinds and their selectors ------------------------------------------
 PRODUCT_LISTING = Spec(
@@ -108,8 +108,10 @@ def harvest(
     With several specs, each page is read by the one its `route` column names; pages without a
     spec yield nothing. Adds `element_ord` (order in the document, null for a page without any
     container), `found` (values by rule name, in order) and `fragment` (source of the container).
-    Reads `url` and `body` (text or UTF-8 bytes) and carries the `keep` columns along.
+    Reads `url` and `body` (text or UTF-8 bytes) and carries the `keep` columns along. The session's
+    Arrow batches are bounded by rows and bytes.
     """
+    bounded_batches(pages.sparkSession)
     many = not isinstance(spec, Spec)
     chosen = F.col(route) if many else F.lit(spec.name)
     source = pages.select(

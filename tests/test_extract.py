@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import sys
 from decimal import Decimal
 
 import pyarrow as pa
@@ -275,3 +276,26 @@ def test_many_pages_of_one_batch_go_out_in_parts(spark, monkeypatch):
     want = [(k, e) for k in range(n) for e in (range(k % 20) if k % 20 else [None])]
     assert [row for _, rows in parts for row in rows] == want
     assert pa.total_allocated_bytes() - before < 4 << 20
+
+
+def test_arrow_batches_of_large_pages_stay_small(spark, monkeypatch):
+    class Held:
+        """Gives the size of the Arrow batch that the page came in."""
+
+        def __init__(self, spec):
+            pass
+
+        def harvest(self, html, page_url):
+            return [({"held": [str(sys._getframe(1).f_locals["batch"].nbytes)]}, "")]
+
+    monkeypatch.setattr(X, "Harvester", Held)
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+    large = spark.range(0, 80, 1, 1).select(
+        F.col("id"), F.lit("https://x.example/").alias("url"), F.repeat(F.lit("x"), 1 << 20).alias("body")
+    )
+    monkeypatch.setattr(X, "spread", lambda df: df)
+    found = X.harvest(large, Spec("page", "", (Rule("held", "p"),)), keep=("id",))
+    rows = found.select("id", X.first("held").cast("long").alias("held")).collect()
+    assert sorted(r.id for r in rows) == list(range(80))
+    assert max(r.held for r in rows) < 16 << 20
