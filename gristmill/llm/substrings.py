@@ -10,8 +10,13 @@ the README), and compares them exactly as far as 128-bit hashes are exact:
 2. Anchors whose gram stands in one document only are left out.
 3. An anchor's context is all bytes that windows around it can reach. Where an earlier document has
    the same whole context, all its windows are repeats.
-4. Only the first document of each context goes on: its windows are compared one by one, which
-   finds the repeats that begin or end inside a context.
+4. Only the first document of each context goes on. Windows that begin far ahead of the anchor share
+   the bytes up to its gram's end, the others those from its gram on: a side that stands in one document
+   only is left out with its windows.
+5. The windows of the other sides are compared one by one, which finds the repeats that begin or end
+   inside a context.
+
+Each step is a job of its own that drops its shuffle files, and work tables go once they were read.
 
 Rows: null texts are empty. A null id counts as later than any other id. Rows with one id do not
 remove each other's bytes; repeated rows have equal results. Extra columns are not carried along. No
@@ -22,44 +27,56 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import bounded_batches, spread
-from gristmill.session import cut
+from gristmill.session import cut, drop
 
 LENGTH = 50
 GRAM = 16
 LAST = (1 << 63) - 1
+# Bytes of short texts that are hashed together.
+CHUNK = 1 << 18
+# Rounds in which windows are compared, each of its share of the hashes: a round's shuffle is on disk at a time.
+ROUNDS = 2
 
 
-def _doubled(raw: np.ndarray, top: int) -> dict[int, np.ndarray]:
-    """Hashes of all runs of 1, 2, 4, ... top bytes."""
-    table = np.random.default_rng(17).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    out, size = {1: table[raw]}, 1
-    while size < top and len(out[size]) > size:
-        h = out[size]
-        g = h[:-size] * np.uint64(0x9E3779B97F4A7C15 + 2 * size) + h[size:]
-        g ^= g >> np.uint64(31)
-        g *= np.uint64(0xD6E8FEB86659FD93)
-        g ^= g >> np.uint64(29)
-        size *= 2
-        out[size] = g
-    return out
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def _words(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place as a number, zeros behind the end."""
+    padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray(len(raw), dtype="<u8", buffer=padded, strides=(1,))
 
 
-def _run(h: dict[int, np.ndarray], at: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of `size` bytes from each place, from the powers of two that make it up."""
-    value = np.full(len(at), size, dtype=np.uint64)
-    place = at
-    for power in sorted(h, reverse=True):
-        if size >= power:
-            value = value * np.uint64(0xC2B2AE3D27D4EB4F) + h[power][place]
-            value ^= value >> np.uint64(30)
-            place, size = place + power, size - power
+def _run(words: np.ndarray, at: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """Hashes of `size` bytes, eight at least, from each place."""
+    value = np.full(len(at), 2 * size + (seed << 32), dtype=np.uint64)
+    for k in range(0, size - 7, 8):
+        value = _mix(value ^ words[at + k])
+    return _mix(value ^ words[at + size - 8]) if size % 8 else value
+
+
+def _cropped(raw: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of `size` bytes from each place, as far as they lie from `low` to `high`, and of where these are."""
+    place = at[:, None] + np.arange(-(-size // 8) * 8)
+    inside = (place >= low[:, None]) & (place < np.minimum(high, at + size)[:, None])
+    taken = np.where(inside, raw[np.clip(place, 0, len(raw) - 1)], np.uint8(0)).view("<u8")
+    value = np.maximum(low - at, 0).astype(np.uint64) << np.uint64(32) | np.minimum(high - at, size).astype(np.uint64)
+    for column in taken.T:
+        value = _mix(value ^ column)
     return value
 
 
@@ -72,27 +89,57 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - size)], x[width - size :]) if width > size else x
 
 
-def anchors(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, gram hashes and context hashes of a text's anchors."""
+def anchors(raw: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places, texts, gram hashes and context hashes of the anchors of texts that lie end to end."""
     n, width = len(raw), length - GRAM + 1
     if n < length:
         none = np.empty(0, dtype=np.int64)
-        return none, none.view(np.uint64), none.view(np.uint64)
-    h = _doubled(raw, 64)
-    gram = h[GRAM]
+        return none, none, none.view(np.uint64), none.view(np.uint64)
+    words = _words(raw)
+    eight = _mix(words[: n - 7])
+    gram = _mix(eight[:-8] ^ words[8 : n - 7]) | np.uint64(1)
     low = _slide(gram, width, np.minimum)
+    starts = np.concatenate([[0], ends[:-1]])
+    text = np.repeat(np.arange(len(ends)), ends - starts)
+    # no window crosses from text to text
+    low = np.where(np.arange(length, n + 1) <= ends[text[: n - length + 1]], low, np.uint64(0))
     pad = np.zeros(width - 1, dtype=np.uint64)
     high = _slide(np.concatenate([pad, low, pad]), width, np.maximum)
     at = np.flatnonzero(gram == high)
+    text = text[at]
     before, size = width - 1, 2 * length - GRAM
     context = np.zeros(len(at), dtype=np.uint64)
-    whole = (at >= before) & (at - before + size <= n)
-    context[whole] = _run(h, at[whole] - before, size)
-    for k in np.flatnonzero(~whole):
-        a, b = max(0, at[k] - before), min(n, at[k] - before + size)
-        digest = hashlib.blake2b(raw[a:b].tobytes(), digest_size=8, salt=str(at[k] - a).encode()).digest()
-        context[k] = int.from_bytes(digest, "little")
-    return at, gram[at], context
+    whole = (at - before >= starts[text]) & (at - before + size <= ends[text])
+    context[whole] = _run(words, at[whole] - before, size, 1)
+    edge = ~whole
+    context[edge] = _cropped(raw, at[edge] - before, starts[text[edge]], ends[text[edge]], size)
+    return at, text, gram[at], context
+
+
+def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text column, end to end, and where each text ends."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8) if data else np.empty(0, dtype=np.uint8)
+    return raw[offsets[0] : offsets[-1]], offsets[1:] - offsets[0]
+
+
+@contextmanager
+def _lean(spark: SparkSession) -> Iterator[None]:
+    """Jobs within drop their shuffle files when they end, and need not sort rows that they join with few."""
+    within = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    }
+    before = {key: spark.conf.get(key) for key in within}
+    try:
+        for key, value in within.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _bytes(value: pa.Scalar) -> np.ndarray:
@@ -111,67 +158,127 @@ def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     )
 
 
-def covered(docs: DataFrame, length: int) -> DataFrame:
-    """(doc, print, a, b): byte runs of `docs` (doc, print, text) that earlier documents hold."""
+def covered(docs: DataFrame, length: int) -> list[DataFrame]:
+    """(doc, print, a, b): byte runs of `docs` (doc, print, text) that earlier documents hold, as several tables."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, stamp, value in zip(*(batch.column(c) for c in ("doc", "print", "text"))):
-                at, gram, context = anchors(_bytes(value), length)
+            if not batch.num_rows:
+                continue
+            ids, stamps = (batch.column(c).to_numpy() for c in ("doc", "print"))
+            raw, ends = _texts(batch.column("text"))
+            row, done = 0, 0
+            while row < len(ends):
+                stop = max(row + 1, int(np.searchsorted(ends, done + CHUNK, "right")))
+                at, text, gram, context = anchors(raw[done : ends[stop - 1]], ends[row:stop] - done, length)
+                place = at - np.concatenate([[0], ends[row:stop] - done])[text]
                 # very long texts go out in parts
                 for k in range(0, len(at), 50_000):
                     part = slice(k, k + 50_000)
-                    m = len(at[part])
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(gram[part].view(np.int64)), pa.array(context[part].view(np.int64)),
-                            pa.array(np.full(m, doc.as_py())), pa.array(np.full(m, stamp.as_py())),
-                            pa.array(at[part].astype(np.int32)),
+                            pa.array(ids[row + text[part]]), pa.array(stamps[row + text[part]]),
+                            pa.array(place[part].astype(np.int32)),
                         ],
                         names=["gram", "context", "doc", "print", "p"],
                     )
+                row, done = stop, int(ends[stop - 1])
 
     found = spread(docs).mapInArrow(mark, "gram long, context long, doc long, print long, p int")
     low = found.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-    shared = low.where(F.col("lo") < F.col("hi")).select("gram")
+    shared = cut(low.where(F.col("lo") < F.col("hi")).select("gram"), "substring-grams")
     kept = cut(found.join(shared, "gram"), "substring-anchors")
+    drop(shared)
     first = kept.groupBy("gram", "context").agg(F.min("doc").alias("lo"))
     first = cut(first, "substring-contexts")
     many = first.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
-    kept = kept.join(first, ["gram", "context"])
-    reach = length - GRAM
-    whole = kept.where(F.col("lo") < F.col("doc")).select(
+    reach, half = length - GRAM, (length - GRAM) // 2
+    both = kept.join(first, ["gram", "context"])
+    whole = both.where(F.col("lo") < F.col("doc")).select(
         "doc", "print", F.greatest(F.col("p") - reach, F.lit(0)).alias("a"), (F.col("p") + length).alias("b")
     )
-    open_ = kept.where(F.col("lo") == F.col("doc")).join(many, "gram", "left_semi")
+    whole = cut(whole, "substring-whole")
+    open_ = both.where(F.col("lo") == F.col("doc")).join(many, "gram", "left_semi")
     places = cut(open_.groupBy("doc", "print").agg(F.collect_list("p").alias("ps")), "substring-places")
+    drop(kept, first)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, stamp, value, ps in zip(*(batch.column(c) for c in ("doc", "print", "text", "ps"))):
                 raw = _bytes(value)
-                p = np.asarray(ps.values)
-                starts = np.unique((p[:, None] - np.arange(reach + 1)[None, :]).ravel()).astype(np.int64)
-                starts = starts[(starts >= 0) & (starts <= len(raw) - length)]
-                h = _doubled(raw, 32)
-                for k in range(0, len(starts), 50_000):
-                    s = starts[k : k + 50_000]
+                words, last, p = _words(raw), len(raw) - length, np.asarray(ps.values).astype(np.int64)
+                right, left = p[p - half <= last], p[p >= half]
+                key = [_run(words, right, length - half, 1), _run(words, left - half, GRAM + half, 2)]
+                a = np.maximum(np.concatenate([right - half, left - reach]), 0)
+                b = np.minimum(np.concatenate([right, left - half]), last)
+                key = np.concatenate(key)[a <= b]
+                a, b = a[a <= b], b[a <= b]
+                for k in range(0, len(a), 50_000):
+                    part = slice(k, k + 50_000)
+                    m = len(a[part])
+                    pieces = [raw[x:y].tobytes() for x, y in zip(a[part].tolist(), (b[part] + length).tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(_run(h, s, length).view(np.int64)),
-                            pa.array(h[GRAM][s].view(np.int64)),
-                            pa.array(np.full(len(s), doc.as_py())), pa.array(np.full(len(s), stamp.as_py())),
-                            pa.array(s.astype(np.int32)),
+                            pa.array(key[part].view(np.int64)),
+                            pa.array(np.full(m, doc.as_py())), pa.array(np.full(m, stamp.as_py())),
+                            pa.array(a[part].astype(np.int32)), pa.array(pieces, pa.binary()),
                         ],
-                        names=["w", "g", "doc", "print", "s"],
+                        names=["side", "doc", "print", "a", "piece"],
                     )
 
     texts = docs.join(places, ["doc", "print"]).select("doc", "print", "text", "ps")
-    single = cut(texts.mapInArrow(windows, "w long, g long, doc long, print long, s int"), "substring-windows")
-    lowest = single.groupBy("w", "g").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
-    repeat = single.join(lowest.select("w", "g", "lo"), ["w", "g"]).where(F.col("lo") < F.col("doc"))
-    parts = repeat.select("doc", "print", F.col("s").alias("a"), (F.col("s") + length).alias("b"))
-    return whole.unionByName(parts)
+    found = cut(texts.mapInArrow(sides, "side long, doc long, print long, a int, piece binary"), "substring-sides")
+    drop(places)
+    low = found.groupBy("side").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    near = found.join(low.where(F.col("lo") < F.col("hi")).select("side"), "side")
+    near = near.groupBy("doc", "print").agg(F.sort_array(F.collect_set(F.struct("a", "piece"))).alias("pieces"))
+    near = cut(near, "substring-pieces")
+    drop(found)
+
+    def windows(rest: int) -> DataFrame:
+        """The windows in the pieces, each place once, of those whose hash leaves `rest` divided by `ROUNDS`."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for doc, stamp, pieces in zip(*(batch.column(c) for c in ("doc", "print", "pieces"))):
+                    begin, piece = pieces.values.flatten()
+                    raw, ends = _texts(piece)
+                    a, words = np.asarray(begin).astype(np.int64), _words(raw)
+                    behind = a + np.diff(ends, prepend=0) - length + 1
+                    # pieces overlap: each begins where those before it end
+                    free = np.maximum(a, np.concatenate([[0], np.maximum.accumulate(behind)[:-1]]))
+                    count = np.maximum(behind - free, 0)
+                    offset = np.concatenate([[0], ends[:-1]]) - a
+                    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    start = np.repeat(free, count) + step
+                    at = start + np.repeat(offset, count)
+                    for k in range(0, len(at), 50_000):
+                        w = _run(words, at[k : k + 50_000], length, 1)
+                        own = np.flatnonzero(w % np.uint64(ROUNDS) == rest)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(w[own].view(np.int64)),
+                                pa.array(_run(words, at[k + own], length, 2).view(np.int64)),
+                                pa.array(np.full(len(own), doc.as_py())), pa.array(np.full(len(own), stamp.as_py())),
+                                pa.array(start[k + own].astype(np.int32)),
+                            ],
+                            names=["w", "g", "doc", "print", "s"],
+                        )
+
+        return near.mapInArrow(run, "w long, g long, doc long, print long, s int")
+
+    out = [whole]
+    for rest in range(ROUNDS):
+        single = windows(rest)
+        lowest = single.groupBy("w", "g").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
+        lowest = cut(lowest.select("w", "g", "lo"), "substring-lowest")
+        repeat = single.join(lowest, ["w", "g"]).where(F.col("lo") < F.col("doc"))
+        parts = repeat.select("doc", "print", F.col("s").alias("a"), (F.col("s") + length).alias("b"))
+        out.append(cut(parts, "substring-parts"))
+        drop(lowest)
+    drop(near)
+    return out
 
 
 def remove_repeats(
@@ -180,8 +287,11 @@ def remove_repeats(
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; kept bytes where asked for."""
     bounded_batches(docs.sparkSession)
     rows = _keyed(docs, id_col, text)
-    runs = covered(rows, length).groupBy("doc", "print").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
-    runs = cut(runs, "substring-runs")
+    with _lean(docs.sparkSession):
+        parts = covered(rows, length)
+        runs = reduce(DataFrame.unionByName, parts).groupBy("doc", "print")
+        runs = cut(runs.agg(F.collect_set(F.struct("a", "b")).alias("runs")), "substring-runs")
+        drop(*parts)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
