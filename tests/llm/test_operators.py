@@ -264,3 +264,12 @@ def test_quality_and_shards_keep_every_row(docs, none):
     counts = [sum(r.shard == k for r in out) for k in range(4)]
     assert max(counts) - min(counts) <= 1
     assert shard.interleave(none, 4).count() == 0
+
+
+def test_substrings_leave_one_work_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("gristmill.session.shared_dir", lambda _: str(tmp_path))
+    text = "".join(f"word{k} " for k in range(60))
+    rows = spark.createDataFrame([(1, text), (2, "x" + text[30:]), (3, text)], "doc_id long, text string")
+    out = {r.doc_id: r.n_removed for r in substrings.remove_repeats(rows).collect()}
+    assert out == {1: 0, 2: len(text) - 30, 3: len(text)}
+    assert [p.name.rpartition("-")[0] for p in (tmp_path / "gristmill").iterdir()] == ["substring-runs"]
