@@ -10,11 +10,13 @@ the README), and compares them exactly as far as 128-bit hashes are exact:
 2. Anchors whose gram stands in one document only are left out.
 3. An anchor's context is all bytes that windows around it can reach. Where an earlier document has
    the same whole context, all its windows are repeats.
-4. Only the first document of each context goes on. Windows that begin far ahead of the anchor share
-   the bytes up to its gram's end, the others those from its gram on: a side that stands in one document
-   only is left out with its windows.
-5. The windows of the other sides are compared one by one, which finds the repeats that begin or end
-   inside a context.
+4. Only the first document of each context goes on, where its gram has several contexts. These are dealt
+   by gram, and a task compares the windows of many grams at once (`repeated`), which finds the repeats that
+   begin or end inside a context. All windows of a context hold its anchor, so what repeats of it is one run.
+5. Contexts of a gram with more than `CROWD` of them would be too much for a task. Windows that begin far
+   ahead of the anchor share the bytes up to its gram's end, the others those from its gram on: a side
+   that stands in one document only is left out with its windows. The windows of the other sides are rows
+   and compared one by one (`_crowded`).
 
 Each step is a job of its own that drops its shuffle files, and work tables go once they were read.
 
@@ -43,7 +45,10 @@ GRAM = 16
 LAST = (1 << 63) - 1
 # Bytes of short texts that are hashed together.
 CHUNK = 1 << 18
-# Rounds in which windows are compared, each of its share of the hashes: a round's shuffle is on disk at a time.
+# Contexts of a gram that one task compares (124 bytes each), and about how many of all grams it compares at once.
+CROWD = 50_000
+PART_CONTEXTS = 1 << 15
+# Rounds in which windows of crowds are compared, each of its share of the hashes: a round's shuffle is on disk at a time.
 ROUNDS = 2
 
 
@@ -192,16 +197,116 @@ def covered(docs: DataFrame, length: int) -> list[DataFrame]:
     drop(shared)
     first = kept.groupBy("gram", "context").agg(F.min("doc").alias("lo"))
     first = cut(first, "substring-contexts")
-    many = first.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
-    reach, half = length - GRAM, (length - GRAM) // 2
+    reach = length - GRAM
     both = kept.join(first, ["gram", "context"])
     whole = both.where(F.col("lo") < F.col("doc")).select(
         "doc", "print", F.greatest(F.col("p") - reach, F.lit(0)).alias("a"), (F.col("p") + length).alias("b")
     )
     whole = cut(whole, "substring-whole")
-    open_ = both.where(F.col("lo") == F.col("doc")).join(many, "gram", "left_semi")
-    places = cut(open_.groupBy("doc", "print").agg(F.collect_list("p").alias("ps")), "substring-places")
+    open_ = cut(both.where(F.col("lo") == F.col("doc")).drop("lo"), "substring-open")
     drop(kept, first)
+    several = open_.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n"), F.min("context").alias("c"), F.max("context").alias("d")
+    )
+    several = open_.join(several.where("c < d").select("gram", "n"), "gram")
+    crowd = F.col("n") > CROWD
+    places = several.groupBy("doc", "print").agg(
+        F.collect_list(F.when(~crowd, F.col("p"))).alias("ps"), F.collect_list(F.when(crowd, F.col("p"))).alias("crowded")
+    )
+    places = cut(places, "substring-places")
+    drop(open_)
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, ends = _texts(batch.column("text"))
+            ps = batch.column("ps")
+            row = np.repeat(np.arange(batch.num_rows), ps.value_lengths().to_numpy())
+            p = ps.flatten().to_numpy().astype(np.int64)
+            at = p + np.concatenate([[0], ends[:-1]])[row]
+            words = _words(raw)
+            gram = _mix(_mix(words[at]) ^ words[at + 8]) | np.uint64(1)
+            room = np.minimum(ends[row] - at - GRAM, reach)
+            padded = np.concatenate([np.zeros(reach, dtype=np.uint8), raw, np.zeros(length, dtype=np.uint8)])
+            pieces = np.lib.stride_tricks.sliding_window_view(padded, reach + length)
+            ids, stamps = (batch.column(c).to_numpy()[row] for c in ("doc", "print"))
+            for k in range(0, len(at), 10_000):
+                part = slice(k, k + 10_000)
+                taken = pieces[at[part]]
+                offsets = np.arange(len(taken) + 1, dtype=np.int32) * (reach + length)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(gram[part].view(np.int64)), pa.array(ids[part]), pa.array(stamps[part]),
+                        pa.array(p[part].astype(np.int32)), pa.array(room[part].astype(np.int32)),
+                        pa.Array.from_buffers(pa.binary(), len(taken), [None, pa.py_buffer(offsets), pa.py_buffer(taken)]),
+                    ],
+                    names=["gram", "doc", "print", "p", "room", "piece"],
+                )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, enough = [], 0, PART_CONTEXTS
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n < enough:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            grams = rows.column("gram").to_numpy()
+            # the last gram's contexts may go on in the next batch
+            done = int(np.searchsorted(grams, grams[-1]))
+            if done:
+                yield repeated(rows.slice(0, done), length)
+            held, n = rows.slice(done).to_batches(), n - done
+            enough = max(PART_CONTEXTS, 2 * n)
+        if n:
+            yield repeated(pa.Table.from_batches(held), length)
+
+    texts = docs.join(places, ["doc", "print"])
+    found = texts.where(F.size("ps") > 0).select("doc", "print", "text", "ps")
+    found = found.mapInArrow(around, "gram long, doc long, print long, p int, room int, piece binary")
+    found = found.repartition("gram").sortWithinPartitions("gram")
+    out = [whole, cut(found.mapInArrow(compare, "doc long, print long, a int, b int"), "substring-inside")]
+    texts = texts.where(F.size("crowded") > 0).select("doc", "print", "text", F.col("crowded").alias("ps"))
+    if not places.where(F.size("crowded") > 0).isEmpty():
+        out += _crowded(texts, length)
+    drop(places)
+    return out
+
+
+def repeated(rows: pa.Table, length: int) -> pa.RecordBatch:
+    """(doc, print, a, b): what repeats of contexts (gram, doc, print, p, room, piece), all those of a gram among
+    them; `room` is how many bytes the text has behind the gram, `piece` the bytes around it."""
+    gram, doc, p, room = (rows.column(c).to_numpy() for c in ("gram", "doc", "p", "room"))
+    raw = _texts(rows.column("piece").combine_chunks())[0]
+    words, reach = _words(raw), length - GRAM
+    at = np.arange(len(doc)) * (reach + length) + reach
+    most, least = np.full(len(doc), -1), np.zeros(len(doc), dtype=np.int64)
+    for ahead in range(reach, -1, -1):
+        own = np.flatnonzero((p >= ahead) & (room >= reach - ahead))
+        if not len(own):
+            continue
+        window = _run(words, at[own] - ahead, length, 1)
+        order = np.argsort(window)
+        window, own = window[order], own[order]
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = (window[1:] != window[:-1]) | (gram[own[1:]] != gram[own[:-1]])
+        begin = np.flatnonzero(new)
+        low = np.minimum.reduceat(doc[own], begin)
+        hit = own[doc[own] > np.repeat(low, np.diff(begin, append=len(own)))]
+        most[hit] = np.maximum(most[hit], ahead)
+        least[hit] = ahead
+    hit = np.flatnonzero(most >= 0)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(doc[hit]), pa.array(rows.column("print").to_numpy()[hit]),
+            pa.array((p[hit] - most[hit]).astype(np.int32)), pa.array((p[hit] - least[hit] + length).astype(np.int32)),
+        ],
+        names=["doc", "print", "a", "b"],
+    )
+
+
+def _crowded(texts: DataFrame, length: int) -> list[DataFrame]:
+    """What repeats of the contexts at the places `ps` of `texts` (doc, print, text, ps), window by window."""
+    reach, half = length - GRAM, (length - GRAM) // 2
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,9 +332,7 @@ def covered(docs: DataFrame, length: int) -> list[DataFrame]:
                         names=["side", "doc", "print", "a", "piece"],
                     )
 
-    texts = docs.join(places, ["doc", "print"]).select("doc", "print", "text", "ps")
     found = cut(texts.mapInArrow(sides, "side long, doc long, print long, a int, piece binary"), "substring-sides")
-    drop(places)
     low = found.groupBy("side").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     near = found.join(low.where(F.col("lo") < F.col("hi")).select("side"), "side")
     near = near.groupBy("doc", "print").agg(F.sort_array(F.collect_set(F.struct("a", "piece"))).alias("pieces"))
@@ -268,7 +371,7 @@ def covered(docs: DataFrame, length: int) -> list[DataFrame]:
 
         return near.mapInArrow(run, "w long, g long, doc long, print long, s int")
 
-    out = [whole]
+    out = []
     for rest in range(ROUNDS):
         single = windows(rest)
         lowest = single.groupBy("w", "g").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 import json
+import random
 import re
 import struct
 from collections import defaultdict
@@ -273,3 +274,33 @@ def test_substrings_leave_one_work_table(spark, tmp_path, monkeypatch):
     out = {r.doc_id: r.n_removed for r in substrings.remove_repeats(rows).collect()}
     assert out == {1: 0, 2: len(text) - 30, 3: len(text)}
     assert [p.name.rpartition("-")[0] for p in (tmp_path / "gristmill").iterdir()] == ["substring-runs"]
+
+
+@pytest.mark.parametrize("crowd", [50_000, 4, 0])
+def test_substrings_around_common_grams_by_both_ways(spark, monkeypatch, crowd):
+    """Pieces a little shorter and longer than a window in ever other surroundings, some at a text's ends."""
+    draw = random.Random(9)
+    letters = "abcdefgh é漢"
+    words = ["".join(draw.choice(letters) for _ in range(n)) for n in (16, 20, 33, 34, 40, 48, 49, 50, 52, 70)]
+    rows = []
+    for doc in range(60):
+        body = "".join(draw.choice(words) + draw.choice(letters) * draw.randrange(3) for _ in range(draw.randrange(1, 9)))
+        rows.append((None if doc % 20 == 19 else doc // 2 * 2 if doc % 10 == 7 else doc, body))
+    rows += [(70 + k, words[-1][k:] + str(k) + words[-2]) for k in range(20)]
+    monkeypatch.setattr(substrings, "CROWD", crowd)
+    monkeypatch.setattr(substrings, "PART_CONTEXTS", 8)
+    if crowd == 50_000:
+        # a row per window is only made for crowds
+        monkeypatch.setattr(substrings, "_crowded", None)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.n_removed, bytes(r.kept)) for r in substrings.remove_repeats(df, with_kept=True).collect()]
+    first, want = {}, []
+    texts = [(1 << 62 if i is None else i, i, text.encode()) for i, text in rows]
+    for at, _, raw in sorted(texts, key=lambda row: row[0]):
+        for s in range(len(raw) - 49):
+            first.setdefault(raw[s : s + 50], at)
+    for at, i, raw in texts:
+        gone = {k for s in range(len(raw) - 49) if first[raw[s : s + 50]] < at for k in range(s, s + 50)}
+        want.append((i, len(gone), bytes(x for k, x in enumerate(raw) if k not in gone)))
+    assert sum(n > 0 for _, n, _ in want) > 20
+    assert sorted(got, key=str) == sorted(want, key=str)
